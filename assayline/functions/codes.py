@@ -36,10 +36,20 @@ def contains_any(text: Column, words: Iterable[str]) -> Column:
 def keyword_category(
     label: Column, rules: Sequence[tuple[str, Sequence[str]]], default: str
 ) -> Column:
-    """First rule with a keyword in the upper-cased label, else ``default``."""
-    text = F.upper(label)
-    hits = [F.when(contains_any(text, words), F.lit(name)) for name, words in rules]
-    return F.coalesce(*hits, F.lit(default))
+    """First rule with a keyword in the upper-cased label, else ``default``.
+
+    The text is bound once, as the element of a one-element array. Written out
+    for every keyword it would be computed again for each one wherever Spark
+    does not share subexpressions, as in a filter pushed below this column, and
+    the generated code would grow past what the JVM compiles.
+    """
+
+    def first_hit(text: Column) -> Column:
+        hits = [F.when(contains_any(text, words), F.lit(name)) for name, words in rules]
+        return F.coalesce(*hits, F.lit(default))
+
+    bound = F.array(F.upper(F.coalesce(label, F.lit(""))))
+    return F.get(F.transform(bound, first_hit), F.lit(0))
 
 
 def worst_of_status(

@@ -148,6 +148,21 @@ def region_rollup(
     return _finish(with_rates(peopled, TOTAL, RATES), "qualite_region", moment)
 
 
+def region_of_statuses(
+    statuses: DataFrame, population: DataFrame, moment: str | None = None
+) -> DataFrame:
+    """The region rollup taken from the place rollup. Same rows as
+    ``region_rollup`` when the conformity has one row per sample, as the silver
+    table does, because then samples add up; it reads groups, not samples."""
+    counts = (TOTAL, *STATUS_NAMES.values())
+    rollup = statuses.groupBy("annee_prelevement", "code_region_geo").agg(
+        F.countDistinct("code_commune").alias("nb_communes"),
+        *[F.sum(c).alias(c) for c in counts],
+    )
+    peopled = rollup.join(population, "code_region_geo", "left")
+    return _finish(with_rates(peopled, TOTAL, RATES), "qualite_region", moment)
+
+
 def score_rollup(statuses: DataFrame) -> DataFrame:
     """Years collapsed: counts summed, rates taken from the sums. Attributes
     depend on the place, so ``max`` picks the one value that is not null."""

@@ -14,6 +14,7 @@ from assayline.plans import quality as rules
 from assayline.plans import silver as to_silver
 from assayline.sources import (
     Layout,
+    Staging,
     ensure_namespace,
     read_envelope,
     read_geojson,
@@ -89,15 +90,16 @@ def silver(
     ensure_namespace(spark, layout, "silver")
     geo = to_silver.clean_geo(bronze_table["geo_communes"])
     stations = to_silver.build_stations(bronze_table["communes_udi"], geo, moment)
-    clean = staged(to_silver.clean_results(bronze_table["resultats_dis"]), "clean_results")
-    bounds = staged(to_silver.result_bounds(clean, accuracy), "result_bounds")
-    results = to_silver.categorise(to_silver.flag_outliers(clean, bounds))
-    tables = {
-        "stations": stations,
-        "mesures": to_silver.build_measures(results, moment),
-        "conformite": to_silver.build_conformity(clean, moment),
-    }
-    return {name: _write(df, layout, "silver", name) for name, df in tables.items()}
+    with Staging(spark) as stage:
+        clean = stage(to_silver.clean_results(bronze_table["resultats_dis"]), "clean_results")
+        bounds = stage(to_silver.result_bounds(clean, accuracy), "result_bounds")
+        results = to_silver.categorise(to_silver.flag_outliers(clean, bounds))
+        tables = {
+            "stations": stations,
+            "mesures": to_silver.build_measures(results, moment),
+            "conformite": to_silver.build_conformity(clean, moment),
+        }
+        return {name: _write(df, layout, "silver", name) for name, df in tables.items()}
 
 
 def _silver_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
@@ -129,27 +131,31 @@ def gold(
     spark: SparkSession, layout: Layout, moment: str | None = None, accuracy: int = 10_000
 ) -> dict[str, int]:
     """The dimension has several readers and is staged, with its true size known
-    to the optimizer. The ranking starts from the stored status table."""
+    to the optimizer. Regions and the ranking start from the stored place table:
+    samples are unique in silver, so their counts add up."""
     table = _silver_tables(spark, layout)
     ensure_namespace(spark, layout, "gold")
-    dim = staged(to_gold.entity_dim(table["stations"]), "entity_dim")
     conformity, measures = table["conformite"], table["mesures"]
-    tables = {
-        "conformite_commune": to_gold.status_rollup(conformity, dim, moment),
-        "evolution_parametres": to_gold.period_stats(measures, dim, moment, accuracy=accuracy),
-        "qualite_region": to_gold.region_rollup(
-            conformity, dim, to_gold.region_population(dim), moment
-        ),
-        "non_conformites": to_gold.violation_profile(
-            to_gold.failed_samples(conformity), measures, dim, moment
-        ),
-    }
-    stored = {name: _write(df, layout, "gold", name) for name, df in tables.items()}
-    statuses = read_table(
-        spark, layout, "gold", "conformite_commune", schemas.GOLD["conformite_commune"]
-    )
-    ranking = to_gold.best_worst(to_gold.score_rollup(statuses), moment=moment)
-    stored["top10_communes"] = _write(ranking, layout, "gold", "top10_communes")
+    stored = {}
+    with Staging(spark) as stage:
+        dim = stage(to_gold.entity_dim(table["stations"]), "entity_dim")
+
+        def store(name: str, df: DataFrame) -> None:
+            stored[name] = _write(df, layout, "gold", name)
+
+        store("conformite_commune", to_gold.status_rollup(conformity, dim, moment))
+        places = read_table(
+            spark, layout, "gold", "conformite_commune", schemas.GOLD["conformite_commune"]
+        )
+        population = to_gold.region_population(dim)
+        store("qualite_region", to_gold.region_of_statuses(places, population, moment))
+        store("top10_communes", to_gold.best_worst(to_gold.score_rollup(places), moment=moment))
+        store(
+            "evolution_parametres",
+            to_gold.period_stats(measures, dim, moment, accuracy=accuracy),
+        )
+        failed = to_gold.failed_samples(conformity)
+        store("non_conformites", to_gold.violation_profile(failed, measures, dim, moment))
     return stored
 
 

@@ -9,6 +9,7 @@ def local_session(cpus: str = "8", app: str = "assayline", **conf: str) -> Spark
         "spark.sql.shuffle.partitions": cpus,
         "spark.sql.adaptive.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
         **conf,
     }

@@ -15,10 +15,11 @@ from assayline.sources.layers import (
     register_views,
     write_table,
 )
-from assayline.sources.staging import staged, staging_root
+from assayline.sources.staging import Staging, staged, staging_root
 
 __all__ = [
     "Layout",
+    "Staging",
     "department_codes",
     "ensure_namespace",
     "fq_table",

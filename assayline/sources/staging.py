@@ -32,3 +32,30 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = staged_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Staging:
+    """Staged tables of a job, deleted when the job is done with them::
+
+        with Staging(spark) as stage:
+            clean = stage(df, "clean")
+            ...  # write everything that reads ``clean``
+    """
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self._folder = staged_path(spark, "job")
+
+    def __call__(self, df: DataFrame, label: str) -> DataFrame:
+        path = f"{self._folder}/{label}"
+        df.write.parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> "Staging":
+        return self
+
+    def __exit__(self, *_) -> None:
+        jvm = self._spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(self._folder)
+        conf = self._spark.sparkContext._jsc.hadoopConfiguration()
+        folder.getFileSystem(conf).delete(folder, True)

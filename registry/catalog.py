@@ -425,6 +425,13 @@ def region_rollup(spark, sf_dir):
     return _regions(spark, sf_dir)
 
 
+@query(using("regions") + "SELECT * FROM regions")
+def region_of_statuses(spark, sf_dir):
+    statuses = gold.status_rollup(views.samples(spark, sf_dir), _dim(spark, sf_dir))
+    population = gold.region_population(_dim(spark, sf_dir))
+    return gold.region_of_statuses(statuses, population).drop("_gold_timestamp")
+
+
 @query(using("scores") + "SELECT * FROM scores")
 def score_rollup(spark, sf_dir):
     return gold.score_rollup(_statuses(spark, sf_dir))
@@ -463,6 +470,11 @@ def violation_profile(spark, sf_dir):
 # Served queries ---------------------------------------------------------------
 
 
+def _stored(rollup, spark, sf_dir):
+    """Queries are served from stored gold tables, so filters reach their files."""
+    return sources.staged(rollup(spark, sf_dir), rollup.__name__.strip("_"))
+
+
 @query(
     using("statuses")
     + """SELECT *, (SELECT CAST(count(*) AS BIGINT) FROM statuses WHERE annee_prelevement = 1998
@@ -474,7 +486,7 @@ ORDER BY annee_prelevement DESC NULLS LAST, taux_conformite_pct DESC NULLS LAST,
 )
 def page_conformite_commune(spark, sf_dir):
     return serving.page(
-        _statuses(spark, sf_dir), "conformite_commune", limit=20, offset=5,
+        _stored(_statuses, spark, sf_dir), "conformite_commune", limit=20, offset=5,
         annee_prelevement=1998, code_departement=7, min_taux_conformite_pct=10.0,
     ).with_total()
 
@@ -488,7 +500,7 @@ ORDER BY annee_prelevement DESC NULLS LAST, mois_prelevement DESC NULLS LAST,
 )
 def page_evolution_parametres(spark, sf_dir):
     return serving.page(
-        _stats(spark, sf_dir), "evolution_parametres", limit=50,
+        _stored(_stats, spark, sf_dir), "evolution_parametres", limit=50,
         mois_prelevement=3, code_parametre="P4",
     ).rows
 
@@ -501,7 +513,7 @@ ORDER BY annee_prelevement DESC NULLS LAST, taux_conformite_pct DESC NULLS LAST,
 )
 def page_qualite_region(spark, sf_dir):
     return serving.page(
-        _regions(spark, sf_dir), "qualite_region", limit=10, offset=3,
+        _stored(_regions, spark, sf_dir), "qualite_region", limit=10, offset=3,
         min_taux_conformite_pct=30.0,
     ).rows
 
@@ -513,7 +525,7 @@ ORDER BY classement_type, rang LIMIT 7"""
 )
 def page_top10_communes(spark, sf_dir):
     return serving.page(
-        _ranked(spark, sf_dir), "top10_communes", limit=7, classement_type="MOINS_CONFORME"
+        _stored(_ranked, spark, sf_dir), "top10_communes", limit=7, classement_type="MOINS_CONFORME"
     ).rows
 
 
@@ -527,13 +539,13 @@ ORDER BY annee_prelevement DESC NULLS LAST, nb_prelevements_non_conformes DESC N
 )
 def page_non_conformites(spark, sf_dir):
     return serving.page(
-        _violations(spark, sf_dir), "non_conformites", categorie_parametre="CHIMIE"
+        _stored(_violations, spark, sf_dir), "non_conformites", categorie_parametre="CHIMIE"
     ).rows
 
 
 def _menus(spark, sf_dir):
     return serving.menu_values(
-        _statuses(spark, sf_dir), _stats(spark, sf_dir), year=1997, dept=3
+        _stored(_statuses, spark, sf_dir), _stored(_stats, spark, sf_dir), year=1997, dept=3
     )
 
 
@@ -574,7 +586,7 @@ LIMIT 20)"""
 
 @query(using("stats") + f", {_TOP} SELECT * FROM top")
 def weighted_top(spark, sf_dir):
-    return serving.weighted_top(_stats(spark, sf_dir), LABEL, year=1996)
+    return serving.weighted_top(_stored(_stats, spark, sf_dir), LABEL, year=1996)
 
 
 @query(
@@ -583,7 +595,7 @@ def weighted_top(spark, sf_dir):
 ORDER BY valeur_moyenne_ponderee DESC, nb_mesures DESC, nom_commune_norm LIMIT 8"""
 )
 def top_bars(spark, sf_dir):
-    ranked = serving.weighted_top(_stats(spark, sf_dir), LABEL, year=1996)
+    ranked = serving.weighted_top(_stored(_stats, spark, sf_dir), LABEL, year=1996)
     return serving.top_bars(ranked, k=8)
 
 
@@ -595,7 +607,7 @@ ORDER BY nb_mesures DESC, nom_commune_norm, code_commune LIMIT 5)"""
 
 @query(using("stats") + f", {_MOST} SELECT * FROM most")
 def most_measured(spark, sf_dir):
-    stats = _stats(spark, sf_dir)
+    stats = _stored(_stats, spark, sf_dir)
     return serving.most_measured(stats.filter(F.col("libelle_parametre_norm") == LABEL))
 
 
@@ -610,19 +622,19 @@ FROM stats WHERE libelle_parametre_norm = '{LABEL}'"""
     + f", {_MOST} {_SERIES} AND code_commune IN (SELECT code_commune FROM most)"
 )
 def series_default(spark, sf_dir):
-    return serving.series(_stats(spark, sf_dir), LABEL)
+    return serving.series(_stored(_stats, spark, sf_dir), LABEL)
 
 
 @query(using("stats") + f"{_SERIES} AND annee_prelevement = 1997 AND code_commune = 'N3'")
 def series_chosen(spark, sf_dir):
-    stats = _stats(spark, sf_dir)
+    stats = _stored(_stats, spark, sf_dir)
     offered = stats.filter(F.col("annee_prelevement") == 1997)
     return serving.series(stats, LABEL, 1997, ["N3", "absent"], available=offered)
 
 
 @query(using("stats") + f"SELECT DISTINCT libelle_unite_norm FROM stats WHERE libelle_parametre_norm = '{LABEL}'")
 def series_unit(spark, sf_dir):
-    return serving.series_unit(_stats(spark, sf_dir), LABEL)
+    return serving.series_unit(_stored(_stats, spark, sf_dir), LABEL)
 
 
 @query(
@@ -637,7 +649,7 @@ FROM statuses s WHERE annee_prelevement = 1999"""
 )
 def kpi_summary(spark, sf_dir):
     return serving.kpi_summary(
-        _statuses(spark, sf_dir), _stats(spark, sf_dir), LABEL, year=1999, communes=["absent"]
+        _stored(_statuses, spark, sf_dir), _stored(_stats, spark, sf_dir), LABEL, year=1999, communes=["absent"]
     )
 
 
@@ -651,7 +663,7 @@ FROM statuses s WHERE code_commune IN ('1', '22', '101')"""
 )
 def kpi_summary_chosen(spark, sf_dir):
     return serving.kpi_summary(
-        _statuses(spark, sf_dir), _stats(spark, sf_dir), LABEL, communes=["1", "22", "101", "none"]
+        _stored(_statuses, spark, sf_dir), _stored(_stats, spark, sf_dir), LABEL, communes=["1", "22", "101", "none"]
     )
 
 
@@ -671,7 +683,7 @@ FROM statuses s JOIN points p ON s.code_commune = p.code_commune
 WHERE s.annee_prelevement = 1998"""
 )
 def map_points(spark, sf_dir):
-    return serving.map_points(_statuses(spark, sf_dir), year=1998)
+    return serving.map_points(_stored(_statuses, spark, sf_dir), year=1998)
 
 
 @query(
@@ -681,7 +693,7 @@ def map_points(spark, sf_dir):
   min(libelle_parametre_norm)) FROM stats) AS libelle_parametre_norm FROM statuses"""
 )
 def default_values(spark, sf_dir):
-    return serving.defaults(_statuses(spark, sf_dir), _stats(spark, sf_dir))
+    return serving.defaults(_stored(_statuses, spark, sf_dir), _stored(_stats, spark, sf_dir))
 
 
 @query(
