@@ -77,11 +77,18 @@ def status_rollup(
     dim: DataFrame,
     moment: str | None = None,
     keys: Sequence[str] = PLACE_KEY,
+    unique_samples: bool = False,
 ) -> DataFrame:
     """Samples, status counts and rates per year and place. A place whose name
-    differs from the dimension's gets no attributes, as the name is in the key."""
+    differs from the dimension's gets no attributes, as the name is in the key.
+
+    Counting distinct samples shuffles every sample. ``unique_samples`` says the
+    input has one row per sample, as the silver table does: then a plain count
+    is the same number, and only groups are shuffled.
+    """
+    samples = F.count(SAMPLE) if unique_samples else F.countDistinct(SAMPLE)
     rollup = conformity.groupBy("annee_prelevement", *DEPARTMENT, *PLACE_KEY).agg(
-        F.countDistinct(SAMPLE).alias(TOTAL), *status_counts(STATUS, STATUS_NAMES)
+        samples.alias(TOTAL), *status_counts(STATUS, STATUS_NAMES)
     )
     placed = _attach(rollup, dim, PLACE_ATTRIBUTES, keys)
     return _finish(with_rates(placed, TOTAL, RATES), "conformite_commune", moment)

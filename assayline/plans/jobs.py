@@ -131,8 +131,8 @@ def gold(
     spark: SparkSession, layout: Layout, moment: str | None = None, accuracy: int = 10_000
 ) -> dict[str, int]:
     """The dimension has several readers and is staged, with its true size known
-    to the optimizer. Regions and the ranking start from the stored place table:
-    samples are unique in silver, so their counts add up."""
+    to the optimizer. Silver has one row per sample, so samples are counted
+    without a shuffle of their own, and regions add up from the place table."""
     table = _silver_tables(spark, layout)
     ensure_namespace(spark, layout, "gold")
     conformity, measures = table["conformite"], table["mesures"]
@@ -143,7 +143,8 @@ def gold(
         def store(name: str, df: DataFrame) -> None:
             stored[name] = _write(df, layout, "gold", name)
 
-        store("conformite_commune", to_gold.status_rollup(conformity, dim, moment))
+        statuses = to_gold.status_rollup(conformity, dim, moment, unique_samples=True)
+        store("conformite_commune", statuses)
         places = read_table(
             spark, layout, "gold", "conformite_commune", schemas.GOLD["conformite_commune"]
         )

@@ -3,8 +3,23 @@ from test_sources import feature, save
 
 from assayline import schemas
 from assayline.plans import jobs, reports
-from assayline.sources import Layout, read_table
-
+from assayline.sources import Layout, read_table, register_views
+
+# Ordered statements a reader of the gold views runs, and their rows here.
+STATEMENTS = {
+    "SELECT annee_prelevement, nom_commune_norm, taux_conformite_pct FROM gold_conformite_commune "
+    "ORDER BY annee_prelevement DESC, taux_conformite_pct DESC LIMIT 100": 2,
+    "SELECT annee_prelevement, mois_prelevement, libelle_parametre_norm, valeur_moyenne "
+    "FROM gold_evolution_parametres WHERE libelle_parametre_norm = 'NITRATES (EN NO3)' "
+    "ORDER BY annee_prelevement, mois_prelevement LIMIT 100": 2,
+    "SELECT annee_prelevement, code_region_geo, taux_conformite_pct FROM gold_qualite_region "
+    "ORDER BY annee_prelevement DESC, taux_conformite_pct DESC LIMIT 100": 2,
+    "SELECT classement_type, rang, nom_commune_norm, taux_conformite_pct "
+    "FROM gold_top10_communes ORDER BY classement_type, rang": 4,
+    "SELECT annee_prelevement, nom_commune_norm, libelle_parametre_norm, "
+    "nb_prelevements_non_conformes FROM gold_non_conformites "
+    "ORDER BY nb_prelevements_non_conformes DESC LIMIT 100": 1,
+}
 MOMENT = "2025-06-01 00:00:00"
 
 
@@ -83,6 +98,9 @@ def test_whole_run(spark, landing, tmp_path):
     suites = {r.suite: r.success for r in done["quality"].groupBy("suite").agg(
         {"success": "min"}).toDF("suite", "success").collect()}
     assert len(suites) == 9 and suites["silver_stations_uniqueness_suite"]
+    register_views(spark, layout, "gold", schemas.GOLD, "gold_")
+    for statement, n in STATEMENTS.items():
+        assert spark.sql(statement).count() == n
     report = reports.report_of(spark, layout, "gold", schemas.GOLD)
     assert {r.table_name: r.row_count for r in report.collect()}["TOTAL"] == 12
 

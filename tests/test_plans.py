@@ -208,6 +208,14 @@ def test_status_rollup(conformity, dim):
     assert sum(r.nb_prelevements_total for r in by_name.values()) == conformity.count()
 
 
+def test_unique_samples_are_counted_without_their_own_shuffle(conformity, dim):
+    plain = gold.status_rollup(conformity, dim, MOMENT, unique_samples=True)
+    text = plan_of(plain).split("== Physical Plan ==")[1]
+    shuffled = [line for line in text.splitlines() if "Exchange hashpartitioning(annee" in line]
+    assert len(shuffled) == 1 and "code_prelevement" not in shuffled[0]
+    assert rows(plain) == rows(gold.status_rollup(conformity, dim, MOMENT))
+
+
 def test_rollup_comes_before_the_join(conformity, dim):
     plan = gold.status_rollup(conformity, dim)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join") < plan.index("Aggregate")
