@@ -70,14 +70,15 @@ def write_table(
     name: str,
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
-    max_files: int | None = None,
+    few_files: bool = False,
     skip_if_empty: bool = False,
 ) -> int:
     """Write a layer table and return how many rows it then holds.
 
     Partition columns that ``df`` lacks are ignored. Rows are rebalanced on the
     partition columns first: small partitions share a task, and AQE splits one
-    that holds much of the data. ``max_files`` is for tables known to be small.
+    that holds much of the data. ``few_files`` rebalances tables without
+    partitions too: a small one becomes a single file, a large one stays split.
     The row count comes from the stored table (file footers), so a task that
     ran twice is not counted twice.
     """
@@ -85,9 +86,7 @@ def write_table(
     if skip_if_empty and df.isEmpty():
         return 0
     parts = [c for c in partition_by if c in df.columns]
-    if max_files:
-        df = df.repartition(max_files)
-    elif parts:
+    if parts or few_files:
         df = df.hint("rebalance", *[F.col(c) for c in parts])
     writer = df.write.format(layout.file_format).mode(mode)
     if layout.file_format == "delta" and mode == "overwrite":

@@ -115,9 +115,9 @@ def test_partitions_are_rebalanced_before_the_write(spark, tmp_path):
     assert len(list((tmp_path / "silver" / "hot").rglob("*.parquet"))) < 8
 
 
-def test_max_files(spark, tmp_path):
+def test_few_files(spark, tmp_path):
     layout = Layout(root=str(tmp_path))
-    sources.write_table(spark.range(0, 100, 1, 8), layout, "bronze", "small", max_files=1)
+    sources.write_table(spark.range(0, 100, 1, 8), layout, "bronze", "small", few_files=True)
     assert len(list((tmp_path / "bronze" / "small").glob("*.parquet"))) == 1
 
 
