@@ -1,4 +1,6 @@
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +27,8 @@ def handle_missing(
 ) -> DataFrame:
     """Drop rows with a null in ``required``, flag nulls of one column as
     ``missing_flag = (new column, source column)``, fill text defaults."""
-    kept = df.na.drop(subset=list(required))
+    # A conjunction, not na.drop: each part is pushed down as far as it can go.
+    kept = df.filter(reduce(and_, [F.col(c).isNotNull() for c in required]))
     if missing_flag:
         kept = kept.withColumn(missing_flag[0], F.col(missing_flag[1]).isNull())
     return kept.na.fill(dict(fill)) if fill else kept

@@ -20,7 +20,7 @@ RESULT_COLUMNS = (
 )
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Rule:
     """``applies`` limits the rows looked at; ``mostly`` is the least share of
     looked-at rows that must hold. ``verdict`` settles rules on the schema."""

@@ -44,6 +44,17 @@ LABEL_COLUMNS = {
     "nom_departement": "nom_departement_norm",
 }
 
+CONTRACT = {*schemas.SILVER["mesures"].names, *schemas.SILVER["conformite"].names}
+RAW_USED = {
+    *CONTRACT,
+    *STATUS_COLUMNS,
+    *LABEL_COLUMNS,
+    "date_prelevement",
+    "resultat_numerique",
+    "libelle_unite",
+    "_ingestion_timestamp",
+}
+
 
 def type_results(raw: DataFrame) -> DataFrame:
     """Sample time with year and month, numeric result with the text one as
@@ -64,8 +75,9 @@ def type_results(raw: DataFrame) -> DataFrame:
     )
 
 
-def dedupe_results(typed: DataFrame) -> DataFrame:
-    return latest_per_key(typed, RESULT_KEY, ["_bronze_ingestion_ts"])
+def dedupe_results(results: DataFrame) -> DataFrame:
+    """Raw or typed results, the last loaded row of each key."""
+    return latest_per_key(results, RESULT_KEY, ["_ingestion_timestamp"])
 
 
 def normalise_results(results: DataFrame) -> DataFrame:
@@ -91,8 +103,16 @@ def settle_missing(results: DataFrame) -> DataFrame:
 
 
 def clean_results(raw: DataFrame) -> DataFrame:
-    """Raw results to one typed, normalised row per result."""
-    return settle_missing(normalise_results(dedupe_results(type_results(raw))))
+    """Raw results to one typed, normalised row per result, with the columns
+    silver tables are made of.
+
+    Copies go first, while rows are narrow and untyped: the key and the load
+    time are raw columns. Rows with an unusable date or without a parameter are
+    dropped before that shuffle, as both only depend on the key.
+    """
+    used = raw.select(*[c for c in raw.columns if c in RAW_USED])
+    clean = settle_missing(normalise_results(type_results(dedupe_results(used))))
+    return clean.select(*[c for c in clean.columns if c in CONTRACT])
 
 
 def result_bounds(clean: DataFrame, accuracy: int = 10_000) -> DataFrame:
@@ -159,10 +179,8 @@ def build_stations(
         label_norm(F.col("nom_commune")).alias("nom_commune_norm"),
     )
     unique = first_per_key(kept, STATION_KEY)
-    joined = unique.join(
-        geo, unique["code_commune"] == geo["code_commune_geo"], "left"
-    ).drop("code_commune_geo", "nom_commune_geo")
-    stamped = with_load_ts(joined, "_silver_timestamp", moment)
+    located = unique.join(geo, unique["code_commune"] == geo["code_commune_geo"], "left")
+    stamped = with_load_ts(located, "_silver_timestamp", moment)
     return stamped.select(*schemas.SILVER["stations"].names)
 
 

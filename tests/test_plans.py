@@ -95,6 +95,15 @@ def test_clean_results(spark):
     ]
 
 
+def test_key_conditions_are_checked_before_the_dedupe_shuffle(spark, tmp_path):
+    raw(spark, {}).select(*schemas.BRONZE["resultats_dis"].names).write.parquet(str(tmp_path / "r"))
+    df = spark.read.schema(schemas.BRONZE["resultats_dis"]).parquet(str(tmp_path / "r"))
+    plan = plan_of(silver.clean_results(df)).split("== Physical Plan ==")[1]
+    assert "PushedFilters: [IsNotNull(code_parametre)]" in plan
+    assert plan.index("Exchange") < plan.index("isnotnull(gettimestamp")
+    assert "libelle_parametre_web" not in plan
+
+
 def test_dedupe_takes_the_newest_load(spark):
     df = raw(spark, {"resultat_alphanumerique": "1"}, {"resultat_alphanumerique": "2"})
     newer = df.withColumn(
