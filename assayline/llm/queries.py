@@ -2,19 +2,28 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayline.llm import sql
 from assayline.llm.common import table
 from assayline.llm.exact_dedup import exact_dedup
 from assayline.llm.mixing import mix
+from assayline.llm.near_dedup import near_dedup
 from assayline.llm.quality_rules import quality_rules
+from assayline.llm.secret_scan import BASE, scan_secrets, span_text
+from assayline.llm.site_quality import site_quality
+from assayline.llm.toxicity import toxicity
 from assayline.llm.url_filter import filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), "kept"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages; listed are the addresses that were fetched with a tracking
     parameter, so every spelling of such a page is blocked."""
@@ -40,9 +49,40 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["kind"].isin([r.kind for r in BASE]))
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [number(r.kind).alias(f"n_{r.kind}") for r in BASE]
+    return found.select(
+        "doc_id", *counts, F.sha2(span_text(base), 256).alias("base_sha256"),
+        span_text(spans).alias("spans"),
+    )
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity(docs, table(spark, sf_dir, "labels"))
+    return found.select(
+        "doc_id", "held_out", "score", "predicted",
+        F.transform("spans", lambda s: F.struct(s["start"], s["end"])).alias("spans"),
+    )
+
+
+def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op2_url_filter, op3_quality_rules, op4_source_mixing, op6_exact_dedup)
+    for f in (
+        op1_near_dedup, op2_url_filter, op3_quality_rules, op4_source_mixing, op6_exact_dedup,
+        op7_secret_scan, op9_toxicity, op10_site_quality,
+    )
 }
 ORACLES: dict[str, str] = {
     "op2_url_filter": sql.URL_FILTER,
