@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from assayline.llm import sql
 from assayline.llm.common import table
 from assayline.llm.exact_dedup import exact_dedup
+from assayline.llm.lattice_lm import score_documents
 from assayline.llm.mixing import mix
 from assayline.llm.near_dedup import near_dedup
+from assayline.llm.packing import pack
 from assayline.llm.quality_rules import quality_rules
 from assayline.llm.secret_scan import BASE, scan_secrets, span_text
 from assayline.llm.site_quality import site_quality
@@ -45,6 +47,10 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), with_ids=False).drop("ids")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -64,6 +70,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = toxicity(docs, table(spark, sf_dir, "labels"))
@@ -80,8 +90,9 @@ def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_near_dedup, op2_url_filter, op3_quality_rules, op4_source_mixing, op6_exact_dedup,
-        op7_secret_scan, op9_toxicity, op10_site_quality,
+        op1_near_dedup, op2_url_filter, op3_quality_rules, op4_source_mixing,
+        op5_lexical_packing, op6_exact_dedup, op7_secret_scan, op8_lattice_lm, op9_toxicity,
+        op10_site_quality,
     )
 }
 ORACLES: dict[str, str] = {
