@@ -32,7 +32,8 @@ def exact_dedup(
     last), then the first read. Null text counts as empty; all empty texts
     are one group. An empty table gives no rows. Rows repeated with their id
     are members like any other, so exactly one row of a group is kept.
-    ``keep_columns`` are carried to the result.
+    ``keep_columns`` are carried to the result and must not have the names of
+    its columns.
 
     Columns: id, keep_id, group_size long, kept boolean, text_sha256 string.
     """

@@ -289,7 +289,6 @@ def near_dedup(
     text_col: str = "text",
     shingle: int = 5,
     percent: int = 80,
-    keep_columns: tuple[str, ...] = (),
 ) -> DataFrame:
     """Component of each document among near duplicates.
 
@@ -314,16 +313,39 @@ def near_dedup(
     allowed; component ids are the smallest non-null ids. Of a component the
     row with the smallest id (null last, then the first read) is kept, so of
     repeated rows one stays. An empty table gives no rows. Texts are compared
-    whole. ``keep_columns`` are carried along.
+    whole.
 
-    Columns: id, n_shingles, component_id, kept, and ``keep_columns``.
+    Columns: id, n_shingles, component_id, kept.
     """
-    carried = [c for c in keep_columns if c not in (id_col, text_col)]
+    judged, _ = _judged(docs, id_col, text_col, shingle, percent, ())
+    return judged.drop("__row").withColumnRenamed("__id", id_col)
+
+
+def keep_one_of_near(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = 5,
+    percent: int = 80,
+) -> DataFrame:
+    """The rows of ``docs`` that ``near_dedup`` keeps, all columns as they were."""
+    carried = [c for c in docs.columns if c != text_col]
+    judged, signed = _judged(docs, id_col, text_col, shingle, percent, carried)
+    place = {c: f"__keep_{i}" for i, c in enumerate(carried)} | {text_col: "__text"}
+    kept = judged.filter("kept").select("__row")
+    return signed.join(kept, "__row", "left_semi").select(
+        *[F.col(place[c]).alias(c) for c in docs.columns]
+    )
+
+
+def _judged(docs, id_col, text_col, shingle, percent, carried) -> tuple[DataFrame, DataFrame]:
+    """Row, id, n_shingles, component_id and kept; and the signed documents
+    with the carried columns, numbered."""
     source = docs.select(
         F.monotonically_increasing_id().alias("__row"),
         F.col(id_col).cast("long").alias("__id"),
         F.col(text_col).cast("string").alias("__text"),
-        *[F.col(c).alias(f"__keep_{c}") for c in carried],
+        *[F.col(c).alias(f"__keep_{i}") for i, c in enumerate(carried)],
     )
     kinds = (T.LongType(), T.BinaryType(), T.BinaryType(), T.ArrayType(T.LongType()))
     made = [T.StructField(name, kind) for name, kind in zip(SIGNED, kinds, strict=True)]
@@ -402,26 +424,11 @@ def near_dedup(
     )
     joined = stage(joined, "near-labels")
     heads = joined.groupBy("label").agg(F.min(rank).alias("__best"))
-    out = joined.join(heads, "label").select(
+    judged = joined.join(heads, "label").select(
         "__row",
-        F.col("__id").alias(id_col),
+        "__id",
         F.col("__n").alias("n_shingles"),
         F.col("__best.__id").alias("component_id"),
         (F.col("__row") == F.col("__best.__row")).alias("kept"),
     )
-    if not keep_columns:
-        return out.drop("__row")
-    source_of = {id_col: "__id", text_col: "__text"}
-    wide = signed.select(
-        F.col("__row").alias("__again"),
-        *[F.col(source_of.get(c, f"__keep_{c}")).alias(c) for c in keep_columns if c != id_col],
-    )
-    return out.join(wide, F.col("__row") == F.col("__again")).drop("__row", "__again")
-
-
-def keep_one_of_near(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
-) -> DataFrame:
-    """The documents that near-duplicate removal keeps, all columns as they were."""
-    judged = near_dedup(docs, id_col, text_col, keep_columns=tuple(docs.columns), **options)
-    return judged.filter("kept").select(docs.columns)
+    return judged, signed
