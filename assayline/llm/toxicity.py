@@ -1,8 +1,8 @@
 """Toxic spans by a linear-chain conditional random field, and document scores."""
 
 import re
-from collections import Counter
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,14 +15,17 @@ from pyspark.sql import types as T
 from assayline.llm.common import WORD, crc_part
 
 # The fit uses at most so many labelled documents of each kind, whole.
-TOXIC_SAMPLE, CLEAN_SAMPLE = 2000, 5000
-SLOTS = 1 << 18
+TOXIC_SAMPLE, CLEAN_SAMPLE = 1500, 4000
+# Features are hashed: into COUNTED slots while their documents are counted,
+# and those into SLOTS weights.
+COUNTED, SLOTS = 1 << 22, 1 << 18
+WIDTH = 4
 WINDOW = 21
 # A feature marks toxic tokens when its document counts could hardly be
 # chance: log-likelihood ratio and log odds above these.
 LEAST_RATIO, LEAST_ODDS = 9.0, 2.0
 REMEMBERED = 400_000
-CELLS = 4_000_000
+CELLS = 1_000_000
 STRIP = b".,;:!?\"'()[]{}<>*#-_/"
 
 
@@ -37,8 +40,10 @@ def features(token: bytes) -> list[str]:
     return [f"w={word}", *[f"{k}={word[:k]}" for k in (3, 4, 5) if len(word) > k]]
 
 
-def slot(feature: str) -> int:
-    return xxhash.xxh32_intdigest(feature) % SLOTS
+def slots(token: bytes) -> list[int]:
+    """Counted slots of a token's features; -1 fills up to WIDTH."""
+    found = [xxhash.xxh32_intdigest(f) % COUNTED for f in features(token)]
+    return found + [-1] * (WIDTH - len(found))
 
 
 @dataclass
@@ -53,7 +58,7 @@ class Tagger:
     document: np.ndarray
 
     def emission(self, token: bytes) -> float:
-        return self.bias + float(sum(self.weights[slot(f)] for f in features(token)))
+        return self.bias + float(sum(self.weights[h % SLOTS] for h in slots(token) if h >= 0))
 
 
 class Emissions(dict):
@@ -147,65 +152,60 @@ def _rising(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
-def _marked(toxic: list[list[bytes]], clean: list[list[bytes]]) -> set[str]:
-    """Features that occur in toxic documents far beyond chance."""
-
-    def counts(docs: list[list[bytes]]) -> Counter:
-        seen: Counter = Counter()
-        for doc in docs:
-            seen.update({f for token in set(doc) for f in features(token)})
-        return seen
-
-    t, c = counts(toxic), counts(clean)
-    n, m = max(1, len(toxic)), max(1, len(clean))
-    found = set()
-    for f, k in t.items():
-        other = c.get(f, 0)
-        expected = (k + other) * n / (n + m)
-        ratio = k * np.log(k / expected)
-        if other:
-            ratio += other * np.log(other / ((k + other) * m / (n + m)))
-        odds = np.log((k + 0.5) / (n + 1)) - np.log((other + 0.5) / (m + 1))
-        if k > expected and ratio >= LEAST_RATIO and odds >= LEAST_ODDS:
-            found.add(f)
-    return found
-
-
-def fit(texts: list[str], toxic: list[int], epochs: int = 4, seed: int = 5) -> Tagger:
+def _marked(docs: list[np.ndarray], places: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Whether each counted slot is of a feature that occurs in toxic documents
+    far beyond chance."""
+    count = np.zeros((2, COUNTED), np.int32)
+    for doc, kind in zip(docs, toxic, strict=True):
+        found = np.unique(places[np.unique(doc)])
+        count[int(kind), found[found >= 0]] += 1
+    n, m = max(1, int(toxic.sum())), max(1, int((1 - toxic).sum()))
+    at = np.nonzero(count[1])[0]
+    t, c = count[1, at].astype(float), count[0, at].astype(float)
+    both = t + c
+    expected, other = both * n / (n + m), both * m / (n + m)
+    ratio = t * np.log(t / expected) + c * np.log(np.maximum(c, 1e-9) / other)
+    odds = np.log((t + 0.5) / (n + 1)) - np.log((c + 0.5) / (m + 1))
+    marked = np.zeros(COUNTED, bool)
+    marked[at[(t > expected) & (ratio >= LEAST_RATIO) & (odds >= LEAST_ODDS)]] = True
+    return marked
+
+
+def fit(texts: Iterable[str | None], toxic: list[int], epochs: int = 4, seed: int = 5) -> Tagger:
     """Tags tokens of the toxic documents by the features that mark them, fits
     the chain on windows of tagged tokens by AdaGrad on its exact gradient,
-    and the document score by logistic regression on the marginals."""
-    docs = [tokens_of(t or "") for t in texts]
+    and the document score by logistic regression on the marginals. Documents
+    are held as numbers of their words."""
+    known: dict[bytes, int] = {}
+    flat = array("i")
+    docs = []
+    for text in texts:
+        ids = array("i")
+        for token in tokens_of(text or ""):
+            number = known.get(token)
+            if number is None:
+                number = known[token] = len(known)
+                flat.extend(slots(token))
+            ids.append(number)
+        docs.append(np.array(ids, dtype=np.int32))
+    del known
+    blank = len(flat) // WIDTH
+    flat.extend([-1] * WIDTH)
+    places = np.array(flat, dtype=np.int32).reshape(-1, WIDTH)
     y = np.array(toxic, dtype=float)
-    marked = _marked(
-        [d for d, k in zip(docs, toxic, strict=True) if k],
-        [d for d, k in zip(docs, toxic, strict=True) if not k],
-    )
+    marked = _marked(docs, places, y)
+    tagged = (marked[places] & (places >= 0)).any(1)
     rng = np.random.default_rng(seed)
-    known: dict[bytes, int] = {}
-    places: list[list[int]] = []
-    tagged: list[bool] = []
-
-    def number(token: bytes) -> int:
-        if token not in known:
-            known[token] = len(known)
-            found = features(token)
-            places.append([slot(f) for f in found] + [SLOTS] * (4 - len(found)))
-            tagged.append(any(f in marked for f in found))
-        return known[token]
-
-    number(b"")
     windows, tags = [], []
-    for doc, kind in zip(docs, toxic, strict=True):
-        ids = np.array([number(token) for token in doc], dtype=np.int64)
+    for ids, kind in zip(docs, toxic, strict=True):
         if not len(ids):
             continue
-        truth = np.array([tagged[i] for i in ids]) & bool(kind)
+        truth = tagged[ids] & bool(kind)
         starts = {max(0, int(i) - WINDOW // 2) for i in np.nonzero(truth)[0][:40]}
         starts |= {int(i) for i in rng.integers(0, max(1, len(ids) - WINDOW + 1), 4)}
         for s in sorted(starts):
-            piece = np.zeros(WINDOW, np.int64)
-            mark = np.zeros(WINDOW)
+            piece = np.full(WINDOW, blank, np.int32)
+            mark = np.zeros(WINDOW, np.float32)
             part = ids[s : s + WINDOW]
             piece[: len(part)] = part
             mark[: len(part)] = truth[s : s + WINDOW]
@@ -213,13 +213,16 @@ def fit(texts: list[str], toxic: list[int], epochs: int = 4, seed: int = 5) -> T
             tags.append(mark)
     weights = np.zeros(SLOTS + 1)
     chain = np.array([-3.0, -3.0, 0.0, 0.0, 0.0, 0.0])  # bias, start, step by row
+    at = np.where(places >= 0, places % SLOTS, SLOTS)
     if windows:
-        _descend(weights, chain, np.array(places), np.array(windows), np.array(tags), epochs, rng)
+        _descend(weights, chain, at, np.array(windows), np.array(tags), epochs, rng)
     step = chain[2:].reshape(2, 2)
     tagger = Tagger(weights[:SLOTS], float(chain[0]), float(chain[1]), step, np.zeros(5))
-    emissions = Emissions(tagger)
-    chains = [np.fromiter(map(emissions.__getitem__, d), float, len(d)) for d in docs]
-    found = [document_features(p) for p in marginals(chains, tagger.start, step)]
+    emission = tagger.bias + weights[at].sum(1)
+    found = []
+    for lo in range(0, len(docs), 500):
+        chains = [emission[ids] for ids in docs[lo : lo + 500]]
+        found += [document_features(p) for p in marginals(chains, tagger.start, step)]
     x = np.array([[*f, 1.0] for f in found]) if found else np.zeros((0, 5))
     if len(x) and 0 < y.sum() < len(y):
         tagger.document = _rising(x, y)
@@ -228,20 +231,20 @@ def fit(texts: list[str], toxic: list[int], epochs: int = 4, seed: int = 5) -> T
     return tagger
 
 
-def _descend(weights, chain, places, windows, tags, epochs, rng, rate=0.5, ridge=1e-5) -> None:
+def _descend(weights, chain, at_word, windows, tags, epochs, rng, rate=0.5, ridge=1e-5) -> None:
     """AdaGrad on the negative log-likelihood of the tags."""
     sums, chain_sums = np.full(len(weights), 1e-8), np.full(len(chain), 1e-8)
     for _ in range(epochs):
         order = rng.permutation(len(windows))
         for lo in range(0, len(order), 256):
             at = order[lo : lo + 256]
-            slots, truth = places[windows[at]], tags[at]
-            score = weights[slots].sum(2) + chain[0]
+            cells, truth = at_word[windows[at]], tags[at]
+            score = weights[cells].sum(2) + chain[0]
             unary, pair = _expected(score, chain[1], chain[2:].reshape(2, 2))
             size = len(at)
             miss = (unary - truth) / size
             grad = np.zeros(len(weights))
-            np.add.at(grad, slots.ravel(), np.repeat(miss.ravel(), slots.shape[2]))
+            np.add.at(grad, cells.ravel(), np.repeat(miss.ravel(), WIDTH))
             grad[SLOTS] = 0
             touched = np.nonzero(grad)[0]
             g = grad[touched] + ridge * weights[touched]
@@ -360,10 +363,10 @@ def training_sample(
         .join(ids, F.col("__id") == F.col("__label_id"))
         .select("__h", "__id", "__toxic", "__text")
         .dropDuplicates(["__id"])
-        .toPandas()
-        .sort_values(["__h", "__id"])
+        .orderBy("__h", "__id")
+        .collect()
     )
-    return rows["__text"].tolist(), rows["__toxic"].astype(int).tolist()
+    return [r["__text"] for r in rows], [r["__toxic"] for r in rows]
 
 
 def toxicity(
