@@ -1,6 +1,7 @@
 from assayline.functions.codes import (
     contains_any,
     keyword_category,
+    plain_keyword_category,
     label_norm,
     map_codes,
     surrogate_key,
@@ -21,6 +22,7 @@ __all__ = [
     "contains_any",
     "in_bbox",
     "keyword_category",
+    "plain_keyword_category",
     "label_norm",
     "load_ts",
     "map_codes",

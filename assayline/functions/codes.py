@@ -44,12 +44,21 @@ def keyword_category(
     the generated code would grow past what the JVM compiles.
     """
 
-    def first_hit(text: Column) -> Column:
-        hits = [F.when(contains_any(text, words), F.lit(name)) for name, words in rules]
-        return F.coalesce(*hits, F.lit(default))
-
     bound = F.array(F.upper(F.coalesce(label, F.lit(""))))
-    return F.get(F.transform(bound, first_hit), F.lit(0))
+    first = F.transform(bound, lambda text: _first_hit(text, rules, default))
+    return F.get(first, F.lit(0))
+
+
+def plain_keyword_category(
+    label: Column, rules: Sequence[tuple[str, Sequence[str]]], default: str
+) -> Column:
+    """``keyword_category`` written out, for a label that is a stored column."""
+    return _first_hit(F.upper(F.coalesce(label, F.lit(""))), rules, default)
+
+
+def _first_hit(text: Column, rules: Sequence[tuple[str, Sequence[str]]], default: str) -> Column:
+    hits = [F.when(contains_any(text, words), F.lit(name)) for name, words in rules]
+    return F.coalesce(*hits, F.lit(default))
 
 
 def worst_of_status(

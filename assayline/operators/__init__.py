@@ -7,6 +7,7 @@ from assayline.operators.profile import (
     null_profile,
     top_labels,
 )
+from assayline.operators.quantiles import exact_quantiles
 from assayline.operators.ranking import best_worst_k, rank_top
 from assayline.operators.rollup import status_counts, with_rates
 from assayline.operators.shape import (
@@ -21,6 +22,7 @@ __all__ = [
     "apply_filters",
     "best_worst_k",
     "distinct_values",
+    "exact_quantiles",
     "expand_codes",
     "filter_members",
     "first_per_key",

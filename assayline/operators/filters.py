@@ -25,24 +25,29 @@ def filter_members(
 ) -> DataFrame:
     """Rows whose ``column`` is one of ``members`` (a list, or a one-column
     DataFrame for long ones). With ``available``, members that are not in its
-    ``column`` do not count. No member left means no filter."""
+    ``column`` do not count. No member left means no filter.
+
+    The fallback is on the member side: an empty choice is replaced by all
+    values of ``column``, so the rows meet the members in a semi join, which
+    stops those that don't match early.
+    """
     if members is None:
         return df
     if isinstance(members, DataFrame):
-        chosen = members.select(F.col(members.columns[0]).alias(column)).dropna()
+        chosen = members.select(F.col(members.columns[0]).alias("__member")).dropna()
         if available is not None:
-            chosen = chosen.join(available.select(column), column, "left_semi")
+            offered = available.select(F.col(column).alias("__member"))
+            chosen = chosen.join(offered, "__member", "left_semi")
     elif not members:
         return df
     elif available is None:
         return df.filter(F.col(column).isin(list(members)))
     else:
-        chosen = available.select(column).filter(F.col(column).isin(list(members)))
+        chosen = available.select(F.col(column).alias("__member")).filter(
+            F.col("__member").isin(list(members))
+        )
     chosen = chosen.distinct()
     n_chosen = chosen.agg(F.count("*")).scalar()
-    hit = chosen.select(F.col(column).alias("__member"))
-    return (
-        df.join(hit, F.col(column) == F.col("__member"), "left")
-        .filter(F.col("__member").isNotNull() | (n_chosen == 0))
-        .drop("__member")
-    )
+    everything = df.select(F.col(column).alias("__member")).distinct()
+    members_left = chosen.unionByName(everything.filter(n_chosen == 0))
+    return df.join(members_left, F.col(column).eqNullSafe(F.col("__member")), "left_semi")

@@ -37,6 +37,8 @@ def handle_missing(
 def _code_texts(df: DataFrame, column: str) -> Column:
     kind = df.schema[column].dataType
     value = F.col(column)
+    while isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.ArrayType):
+        value, kind = F.flatten(F.filter(value, lambda v: v.isNotNull())), kind.elementType
     if isinstance(kind, T.ArrayType):
         # Elements may themselves be lists written as text ("64,69").
         if isinstance(kind.elementType, T.IntegralType):

@@ -15,6 +15,7 @@ from assayline import schemas
 from assayline.functions import pct, vocab
 from assayline.operators import (
     best_worst_k,
+    exact_quantiles,
     first_per_key,
     status_counts,
     with_load_ts,
@@ -98,27 +99,39 @@ def _share(part: str, whole: str) -> Column:
     return pct(F.col(part), F.col(whole))
 
 
+def _with_medians(rollup: DataFrame, measures: DataFrame, group: Sequence[str]) -> DataFrame:
+    medians = exact_quantiles(measures, group, "resultat_parse", [0.5], "__q").select(
+        *[F.col(c).alias(f"__m_{c}") for c in group], F.round(F.col("__q")[0], 4).alias("__median")
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"__m_{c}")) for c in group]
+    joined = rollup.join(medians, same, "left").withColumn("valeur_mediane", F.col("__median"))
+    return joined.select(*rollup.columns)
+
+
 def period_stats(
     measures: DataFrame,
     dim: DataFrame,
     moment: str | None = None,
     keys: Sequence[str] = PLACE_KEY,
-    accuracy: int = 10_000,
+    accuracy: int | None = None,
 ) -> DataFrame:
     """Counts, mean, median, extremes and shares per month, place, parameter
-    and unit."""
+    and unit. The median is exact; ``accuracy`` takes a quantile sketch
+    instead, exact for groups of up to so many rows."""
     value = F.col("resultat_parse")
-    rollup = measures.groupBy(
-        "annee_prelevement", "mois_prelevement", *DEPARTMENT, *PLACE_KEY, *PARAMETER
-    ).agg(
+    group = ("annee_prelevement", "mois_prelevement", *DEPARTMENT, *PLACE_KEY, *PARAMETER)
+    sketched = F.percentile_approx(value, 0.5, accuracy or 10_000)
+    rollup = measures.groupBy(*group).agg(
         F.count("*").alias("nb_mesures"),
         F.count_if("_resultat_manquant").alias("nb_resultats_manquants"),
         F.count_if("_est_outlier").alias("nb_outliers"),
         F.round(F.avg(value), 4).alias("valeur_moyenne"),
-        F.round(F.percentile_approx(value, 0.5, accuracy), 4).alias("valeur_mediane"),
+        F.round(sketched if accuracy else F.lit(None).cast("double"), 4).alias("valeur_mediane"),
         F.round(F.min(value), 4).alias("valeur_min"),
         F.round(F.max(value), 4).alias("valeur_max"),
     )
+    if not accuracy:
+        rollup = _with_medians(rollup, measures, group)
     shares = rollup.withColumns(
         {
             "pct_resultats_manquants": _share("nb_resultats_manquants", "nb_mesures"),

@@ -16,15 +16,21 @@ from assayline.sources import (
     Layout,
     Staging,
     ensure_namespace,
+    page_completeness,
+    page_rejects,
     read_envelope,
     read_geojson,
     read_table,
-    staged,
     write_table,
 )
 
 STAGES = ("bronze", "silver", "gold")
 SOURCES = ("geo_communes", "communes_udi", "resultats_dis")
+RAW_PAGES = {"communes_udi": schemas.RAW_NETWORKS, "resultats_dis": schemas.RAW_RESULTS}
+
+
+class LandingError(RuntimeError):
+    """Raised by a strict landing; names the sources with lost pages."""
 
 
 class QualityError(RuntimeError):
@@ -51,13 +57,25 @@ def bronze(
     landing: Landing,
     only: str | Sequence[str] | None = None,
     moment: str | None = None,
+    strict: bool = False,
 ) -> dict[str, int]:
-    """Land all sources, or those of ``only``. An empty landing leaves its table."""
+    """Land all sources, or those of ``only``. An empty landing leaves its table.
+
+    Documents that give no records are kept in ``rejects_<source>`` with their
+    file. With ``strict``, lost pages stop the job before its tables change
+    (see ``completeness``).
+    """
     wanted = SOURCES if only is None else (only,) if isinstance(only, str) else tuple(only)
     unknown = set(wanted) - set(SOURCES)
     if unknown:
         raise ValueError(f"unknown source {sorted(unknown)}; known: {list(SOURCES)}")
     ensure_namespace(spark, layout, "bronze")
+    paged = [name for name in wanted if name in RAW_PAGES]
+    if strict and paged:
+        lost = completeness(spark, landing, paged).filter(~F.col("is_complete"))
+        names = sorted(row.source for row in lost.select("source").collect())
+        if names:
+            raise LandingError(", ".join(names))
     stored = {}
     for name in wanted:
         path, origin = landing.paths[name], landing.origins[name]
@@ -66,19 +84,35 @@ def bronze(
                 spark, path, schemas.RAW_PLACES, landing.one_per_file, with_position=True
             )
             table = to_bronze.land_places(records, origin, moment)
-        elif name == "communes_udi":
-            records = read_envelope(spark, path, schemas.RAW_NETWORKS, landing.one_per_file)
-            table = to_bronze.land_networks(records, origin, moment)
         else:
-            records = read_envelope(spark, path, schemas.RAW_RESULTS, landing.one_per_file)
-            table = to_bronze.land_results(records, origin, moment)
-        kept = table.select(*schemas.BRONZE[name].names)
-        stored[name] = _write(kept, layout, "bronze", name, skip_if_empty=True)
+            records = read_envelope(spark, path, RAW_PAGES[name], landing.one_per_file)
+            land = to_bronze.land_networks if name == "communes_udi" else to_bronze.land_results
+            table = land(records, origin, moment)
+            rejects = page_rejects(spark, path, RAW_PAGES[name], landing.one_per_file)
+            _write(rejects, layout, "bronze", f"rejects_{name}")
+        if records.isEmpty():
+            stored[name] = 0
+            continue
+        stored[name] = _write(table.select(*schemas.BRONZE[name].names), layout, "bronze", name)
     return stored
 
 
+def completeness(
+    spark: SparkSession, landing: Landing, only: Sequence[str] | None = None
+) -> DataFrame:
+    """One row per paged source: whether its pages hold what they announce."""
+    found = [
+        page_completeness(spark, landing.paths[name], schema, landing.one_per_file).select(
+            F.lit(name).alias("source"), "*"
+        )
+        for name, schema in RAW_PAGES.items()
+        if only is None or name in only
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 def silver(
-    spark: SparkSession, layout: Layout, moment: str | None = None, accuracy: int = 10_000
+    spark: SparkSession, layout: Layout, moment: str | None = None, accuracy: int | None = None
 ) -> dict[str, int]:
     """Cleaned results feed the bounds, the measures and the conformity, so they
     are staged: the shuffle that removes copies runs once, and a lost executor
@@ -93,7 +127,7 @@ def silver(
     with Staging(spark) as stage:
         clean = stage(to_silver.clean_results(bronze_table["resultats_dis"]), "clean_results")
         bounds = stage(to_silver.result_bounds(clean, accuracy), "result_bounds")
-        results = to_silver.categorise(to_silver.flag_outliers(clean, bounds))
+        results = to_silver.categorise_stored(to_silver.flag_outliers(clean, bounds))
         tables = {
             "stations": stations,
             "mesures": to_silver.build_measures(results, moment),
@@ -109,16 +143,32 @@ def _silver_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     }
 
 
-def quality(spark: SparkSession, layout: Layout, gate: bool = False) -> DataFrame:
+def quality(
+    spark: SparkSession,
+    layout: Layout,
+    gate: bool = False,
+    ranges: Mapping[str, tuple[float, float]] = rules.RANGES,
+    filled: float = rules.NON_NULL_SHARE,
+    known_status: float = rules.STATUS_SHARE,
+) -> DataFrame:
     """Check the silver tables, keep the results as a table, and return them.
-    Failures are only reported unless ``gate`` is set."""
-    checked = [rules.CHECKS[name](df) for name, df in _silver_tables(spark, layout).items()]
+    ``ranges`` are the value ranges per view, ``filled`` the least share of
+    values that a filled column needs, ``known_status`` that of known statuses.
+    Failures are only reported unless ``gate`` is set. In a catalog without a
+    ``quality`` namespace the table is ``quality_results`` of silver."""
+    table = _silver_tables(spark, layout)
+    checked = [
+        rules.check_stations(table["stations"], filled),
+        rules.check_measures(table["mesures"], ranges, filled),
+        rules.check_conformity(table["conformite"], filled, known_status),
+    ]
     results = reduce(DataFrame.unionByName, checked)
-    if layout.in_catalog:
-        kept = staged(results, "quality")
-    else:
-        write_table(results, layout, "quality", "results")
-        kept = read_table(spark, layout, "quality", "results", results.schema)
+    layer, name = "quality", "results"
+    if layout.in_catalog and layer not in layout.namespaces:
+        layer, name = "silver", "quality_results"
+    ensure_namespace(spark, layout, layer)
+    write_table(results, layout, layer, name)
+    kept = read_table(spark, layout, layer, name, results.schema)
     if gate:
         failed = rules.suite_summary(kept).filter(~F.col("success")).select("suite")
         names = sorted(row.suite for row in failed.collect())
@@ -128,7 +178,7 @@ def quality(spark: SparkSession, layout: Layout, gate: bool = False) -> DataFram
 
 
 def gold(
-    spark: SparkSession, layout: Layout, moment: str | None = None, accuracy: int = 10_000
+    spark: SparkSession, layout: Layout, moment: str | None = None, accuracy: int | None = None
 ) -> dict[str, int]:
     """The dimension has several readers and is staged, with its true size known
     to the optimizer. Silver has one row per sample, so samples are counted
@@ -181,17 +231,22 @@ def run(
     with_quality: bool = False,
     gate: bool = False,
     moment: str | None = None,
+    only: str | Sequence[str] | None = None,
+    strict: bool = False,
+    accuracy: int | None = None,
 ) -> dict[str, dict[str, int] | DataFrame]:
-    """Run a range of layers in one session. A failing stage stops the run."""
+    """Run a range of layers in one session. A failing stage stops the run.
+    ``only`` and ``strict`` are for the bronze stage; ``accuracy`` takes
+    quantile sketches of that size instead of exact quantiles."""
     done: dict[str, dict[str, int] | DataFrame] = {}
     for stage in stage_range(first, last, with_quality):
         if stage == "bronze":
             if landing is None:
                 raise ValueError("the bronze stage needs a landing")
-            done[stage] = bronze(spark, layout, landing, moment=moment)
+            done[stage] = bronze(spark, layout, landing, only, moment, strict)
         elif stage == "quality":
             done[stage] = quality(spark, layout, gate)
         else:
             job = silver if stage == "silver" else gold
-            done[stage] = job(spark, layout, moment)
+            done[stage] = job(spark, layout, moment, accuracy)
     return done

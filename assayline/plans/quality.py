@@ -238,7 +238,7 @@ def view_rows(measures: DataFrame, view: str) -> DataFrame:
     return measures.filter(views()[view] & F.col("resultat_parse").isNotNull())
 
 
-def contract_rules(df: DataFrame, table: str) -> list[Rule]:
+def contract_rules(df: DataFrame, table: str, filled: float = NON_NULL_SHARE) -> list[Rule]:
     """Columns, types, at least one row, and filled columns of a silver table."""
     contract = schemas.SILVER[table]
     rules = [
@@ -250,7 +250,7 @@ def contract_rules(df: DataFrame, table: str) -> list[Rule]:
         kind = type(part.dataType).__name__
         rules.append(column_exists(df, part.name))
         rules.append(column_type(df, part.name, (kind, *ALSO_ALLOWED.get(kind, ()))))
-    return rules + [not_null(c, NON_NULL_SHARE) for c in NON_NULL[table]]
+    return rules + [not_null(c, filled) for c in NON_NULL[table]]
 
 
 def range_rules(ranges: Mapping[str, tuple[float, float]] = RANGES) -> dict[str, list[Rule]]:
@@ -266,8 +266,8 @@ def range_rules(ranges: Mapping[str, tuple[float, float]] = RANGES) -> dict[str,
     }
 
 
-def check_stations(stations: DataFrame) -> DataFrame:
-    rules = contract_rules(stations, "stations") + [
+def check_stations(stations: DataFrame, filled: float = NON_NULL_SHARE) -> DataFrame:
+    rules = contract_rules(stations, "stations", filled) + [
         not_null("code_reseau"),
         between("latitude", -90.0, 90.0),
         between("longitude", -180.0, 180.0),
@@ -285,23 +285,27 @@ def check_stations(stations: DataFrame) -> DataFrame:
 
 
 def check_measures(
-    measures: DataFrame, ranges: Mapping[str, tuple[float, float]] = RANGES
+    measures: DataFrame,
+    ranges: Mapping[str, tuple[float, float]] = RANGES,
+    filled: float = NON_NULL_SHARE,
 ) -> DataFrame:
     """Six suites, one scan."""
-    suites = {"silver_mesures_schema_suite": contract_rules(measures, "mesures")}
+    suites = {"silver_mesures_schema_suite": contract_rules(measures, "mesures", filled)}
     return check(measures, {**suites, **range_rules(ranges)})
 
 
-def check_conformity(conformity: DataFrame) -> DataFrame:
+def check_conformity(
+    conformity: DataFrame, filled: float = NON_NULL_SHARE, known: float = STATUS_SHARE
+) -> DataFrame:
     statuses = (
         "conformite_bact_limite_norm",
         "conformite_pc_limite_norm",
         "conformite_bact_ref_norm",
         "conformite_pc_ref_norm",
     )
-    rules = contract_rules(conformity, "conformite")
+    rules = contract_rules(conformity, "conformite", filled)
     rules.append(in_set("conformite_globale", STATUS_VALUES))
-    rules += [in_set(c, STATUS_VALUES, STATUS_SHARE) for c in statuses]
+    rules += [in_set(c, STATUS_VALUES, known) for c in statuses]
     return check(conformity, {"silver_conformite_schema_suite": rules})
 
 

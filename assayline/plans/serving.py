@@ -17,33 +17,62 @@ from assayline.operators import (
 
 # Order of each table, then the rest of its key, which makes the
 # order total so that pages do not overlap.
-TABLE_ORDERS = {
+PLACE_TAIL = (
+    ("code_departement", "asc"), ("nom_departement_norm", "asc"), ("code_region_geo", "asc"),
+)
+TABLE_ORDERS: dict[str, tuple[tuple[str, str], ...]] = {
     "conformite_commune": (
-        "-annee_prelevement -taux_conformite_pct nom_commune_norm",
-        "code_commune code_departement nom_departement_norm code_region_geo",
+        ("annee_prelevement", "desc"),
+        ("taux_conformite_pct", "desc"),
+        ("nom_commune_norm", "asc"),
+        ("code_commune", "asc"),
+        *PLACE_TAIL,
     ),
     "evolution_parametres": (
-        "-annee_prelevement -mois_prelevement libelle_parametre_norm",
-        "code_commune nom_commune_norm code_parametre categorie_parametre "
-        "libelle_unite_norm code_departement nom_departement_norm code_region_geo",
+        ("annee_prelevement", "desc"),
+        ("mois_prelevement", "desc"),
+        ("libelle_parametre_norm", "asc"),
+        ("code_commune", "asc"),
+        ("nom_commune_norm", "asc"),
+        ("code_parametre", "asc"),
+        ("categorie_parametre", "asc"),
+        ("libelle_unite_norm", "asc"),
+        *PLACE_TAIL,
+    ),
+    "qualite_region": (
+        ("annee_prelevement", "desc"),
+        ("taux_conformite_pct", "desc"),
+        ("code_region_geo", "asc"),
     ),
-    "qualite_region": ("-annee_prelevement -taux_conformite_pct code_region_geo", ""),
-    "top10_communes": ("classement_type rang", ""),
+    "top10_communes": (("classement_type", "asc"), ("rang", "asc")),
     "non_conformites": (
-        "-annee_prelevement -nb_prelevements_non_conformes nom_commune_norm",
-        "code_commune code_parametre libelle_parametre_norm categorie_parametre "
-        "libelle_unite_norm code_departement nom_departement_norm code_region_geo",
+        ("annee_prelevement", "desc"),
+        ("nb_prelevements_non_conformes", "desc"),
+        ("nom_commune_norm", "asc"),
+        ("code_commune", "asc"),
+        ("code_parametre", "asc"),
+        ("libelle_parametre_norm", "asc"),
+        ("categorie_parametre", "asc"),
+        ("libelle_unite_norm", "asc"),
+        *PLACE_TAIL,
     ),
 }
 
+# Columns that can be asked for by value.
 _EQUAL = {
-    "conformite_commune": "annee_prelevement code_departement code_commune code_region_geo",
-    "evolution_parametres": "annee_prelevement mois_prelevement code_departement code_commune "
-    "code_parametre libelle_parametre_norm categorie_parametre",
-    "qualite_region": "annee_prelevement code_region_geo",
-    "top10_communes": "classement_type code_region_geo",
-    "non_conformites": "annee_prelevement code_departement code_commune code_parametre "
-    "categorie_parametre",
+    "conformite_commune": (
+        "annee_prelevement", "code_departement", "code_commune", "code_region_geo",
+    ),
+    "evolution_parametres": (
+        "annee_prelevement", "mois_prelevement", "code_departement", "code_commune",
+        "code_parametre", "libelle_parametre_norm", "categorie_parametre",
+    ),
+    "qualite_region": ("annee_prelevement", "code_region_geo"),
+    "top10_communes": ("classement_type", "code_region_geo"),
+    "non_conformites": (
+        "annee_prelevement", "code_departement", "code_commune", "code_parametre",
+        "categorie_parametre",
+    ),
 }
 _AT_LEAST = {"min_taux_conformite_pct": "taux_conformite_pct"}
 _RATED = ("conformite_commune", "qualite_region")
@@ -65,14 +94,19 @@ class Page:
     total: DataFrame
 
     def with_total(self) -> DataFrame:
-        return self.rows.withColumn("row_count", self.total.scalar())
+        """The rows with ``row_count``. A page behind the end is one row that is
+        empty but for the count."""
+        shown = self.rows.withColumn("row_count", self.total.scalar())
+        n_shown = self.rows.agg(F.count("*")).scalar()
+        blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.rows.schema]
+        none = self.total.select(*blank, "row_count").filter(n_shown == 0)
+        return shown.unionByName(none)
 
 
 def table_order(table: str) -> list[Column]:
     return [
-        F.col(name[1:]).desc_nulls_last() if name[0] == "-" else F.col(name).asc_nulls_last()
-        for part in TABLE_ORDERS[table]
-        for name in part.split()
+        F.col(name).desc_nulls_last() if way == "desc" else F.col(name).asc_nulls_last()
+        for name, way in TABLE_ORDERS[table]
     ]
 
 
@@ -87,7 +121,7 @@ def _bound(name: str, value: int, low: int, high: int | None = None) -> None:
 
 
 def _predicates(table: str, asked: Mapping[str, Any]) -> list[tuple[str, str, Any]]:
-    equal = _EQUAL[table].split()
+    equal = _EQUAL[table]
     found = []
     for name, value in asked.items():
         if name in _AT_LEAST and table in _RATED:
@@ -321,12 +355,21 @@ def series_unit(stats: DataFrame, label: str, year: int | None = None) -> DataFr
 
 
 def defaults(
-    statuses: DataFrame, stats: DataFrame, preferred: str = vocab.PREFERRED_LABEL
+    statuses: DataFrame,
+    stats: DataFrame,
+    preferred: str = vocab.PREFERRED_LABEL,
+    year: int | None = None,
+    asked: str | None = None,
 ) -> DataFrame:
     """One row: the latest year, and the preferred label if measured, else the
-    first one by name."""
+    first one by name. With ``year``, that year and the labels measured in it;
+    an ``asked`` label that is offered is kept."""
     label = F.col("libelle_parametre_norm")
-    labels = stats.agg(F.coalesce(F.max(F.when(label == preferred, label)), F.min(label)))
-    return statuses.agg(F.max("annee_prelevement").alias("annee_prelevement")).withColumn(
+    offered = _scoped(stats, year, None)
+    wanted = [asked, preferred] if asked is not None else [preferred]
+    found = [F.max(F.when(label == name, label)) for name in wanted]
+    labels = offered.agg(F.coalesce(*found, F.min(label)))
+    latest = F.max("annee_prelevement") if year is None else F.lit(year)
+    return statuses.agg(latest.alias("annee_prelevement")).withColumn(
         "libelle_parametre_norm", labels.scalar()
     )

@@ -7,6 +7,7 @@ from assayline import schemas
 from assayline.functions import (
     in_bbox,
     keyword_category,
+    plain_keyword_category,
     label_norm,
     map_codes,
     parse_day,
@@ -115,12 +116,12 @@ def clean_results(raw: DataFrame) -> DataFrame:
     return clean.select(*[c for c in clean.columns if c in CONTRACT])
 
 
-def result_bounds(clean: DataFrame, accuracy: int = 10_000) -> DataFrame:
+def result_bounds(clean: DataFrame, accuracy: int | None = None) -> DataFrame:
     return iqr_bounds(clean, "resultat_parse", "code_parametre", accuracy=accuracy)
 
 
 def flag_outliers(
-    clean: DataFrame, bounds: DataFrame | None = None, accuracy: int = 10_000
+    clean: DataFrame, bounds: DataFrame | None = None, accuracy: int | None = None
 ) -> DataFrame:
     return flag_iqr_outliers(
         clean, "resultat_parse", "code_parametre", "_est_outlier", accuracy=accuracy, bounds=bounds
@@ -128,6 +129,7 @@ def flag_outliers(
 
 
 def categorise(results: DataFrame) -> DataFrame:
+    """Adds the category of each label."""
     return results.withColumn(
         "categorie_parametre",
         keyword_category(
@@ -136,6 +138,18 @@ def categorise(results: DataFrame) -> DataFrame:
     )
 
 
+def categorise_stored(results: DataFrame) -> DataFrame:
+    """As ``categorise``, for results whose label is a stored column: the plain
+    chain of keyword tests then costs no recomputation and stays in generated
+    code."""
+    return results.withColumn(
+        "categorie_parametre",
+        plain_keyword_category(
+            F.col("libelle_parametre_norm"), vocab.CATEGORY_RULES, vocab.CATEGORY_DEFAULT
+        ),
+    )
+
+
 def build_measures(results: DataFrame, moment: str | None = None) -> DataFrame:
     """Contract columns that exist, in contract order, and the load time."""
     stamped = with_load_ts(results, "_silver_timestamp", moment)

@@ -1,6 +1,7 @@
 from assayline.sources.landed import (
     department_codes,
     page_completeness,
+    page_rejects,
     read_envelope,
     read_geojson,
     read_json_array,
@@ -24,6 +25,7 @@ __all__ = [
     "ensure_namespace",
     "fq_table",
     "page_completeness",
+    "page_rejects",
     "read_envelope",
     "read_geojson",
     "read_json_array",

@@ -45,34 +45,84 @@ def _pages(spark, path, record_schema, one_per_file) -> DataFrame:
             T.StructField(CORRUPT, T.StringType()),
         ]
     )
-    return _scan(spark, path, page, one_per_file)
+    return _scan(spark, path, page, one_per_file).withColumn(
+        "_source_file", F.col("_metadata.file_path")
+    )
 
 
 def read_envelope(
     spark: SparkSession, path: str, record_schema: T.StructType, one_per_file: bool = True
 ) -> DataFrame:
     """Records of all ``{"count", "data": [...], "next"}`` pages under ``path``.
-    Documents of another shape have no ``data`` and give no row."""
+    Documents of another shape have no ``data`` and give no row; neither do
+    documents that can't be read, which ``page_rejects`` lists."""
     return _pages(spark, path, record_schema, one_per_file).select(F.inline("data"))
 
 
+def page_rejects(
+    spark: SparkSession, path: str, record_schema: T.StructType, one_per_file: bool = True
+) -> DataFrame:
+    """``(_source_file, reason, document)`` of every document that gives no
+    records: ``unreadable`` with its text, or ``no data``."""
+    pages = _pages(spark, path, record_schema, one_per_file).filter(F.col("data").isNull())
+    broken = F.col(CORRUPT).isNotNull()
+    return pages.select(
+        "_source_file",
+        F.when(broken, F.lit("unreadable")).otherwise(F.lit("no data")).alias("reason"),
+        F.col(CORRUPT).alias("document"),
+    )
+
+
 def page_completeness(
     spark: SparkSession, path: str, record_schema: T.StructType, one_per_file: bool = True
 ) -> DataFrame:
     """One row telling whether the landed pages hold what they announce: enough
-    records for the greatest ``count``, a last page, and no unreadable page."""
-    pages = _pages(spark, path, record_schema, one_per_file)
-    totals = pages.agg(
-        F.count("*").alias("n_pages"),
-        F.sum(F.coalesce(F.size("data"), F.lit(0)).cast("long")).alias("n_records"),
+    records, a last page, and no unreadable page.
+
+    A page that was landed twice counts once, so it can't stand in for a lost
+    one. Each folder under ``path`` holds the pages of one query and is held
+    against its own ``count``; the counts of all folders are added up.
+    """
+    folder = F.regexp_extract("_source_file", r"^(.*)/[^/]*$", 1)
+    content = F.to_json(F.struct("next", "data"))
+    pages = _pages(spark, path, record_schema, one_per_file).select(
+        folder.alias("__folder"),
+        "count",
+        F.col("data").isNull().alias("__lost"),
+        (F.col("data").isNotNull() & F.col("next").isNull()).alias("__last"),
+        F.coalesce(F.size("data"), F.lit(0)).cast("long").alias("__records"),
+        F.when(F.col("data").isNotNull(), F.sha2(content, 256)).alias("__page"),
+    )
+    distinct = pages.groupBy("__folder", "__page").agg(
+        F.count("*").alias("n"),
+        F.max("__records").alias("__records"),
+        F.max("count").alias("count"),
+        F.count_if("__lost").alias("__lost"),
+        F.count_if("__last").alias("__last"),
+    )
+    folders = distinct.groupBy("__folder").agg(
+        F.sum("n").alias("n_pages"),
+        F.sum("__records").alias("n_records"),
         F.max("count").alias("declared_count"),
-        F.count_if(F.col("data").isNull()).alias("n_unreadable"),
-        F.count_if(F.col("data").isNotNull() & F.col("next").isNull()).alias("n_last_pages"),
+        F.sum("__lost").alias("n_unreadable"),
+        F.sum("__last").alias("n_last_pages"),
+        F.sum(F.when(F.col("__page").isNotNull(), F.col("n") - 1).otherwise(0)).alias(
+            "n_repeated_pages"
+        ),
     )
     enough = F.col("n_records") >= F.coalesce(F.col("declared_count"), F.lit(0))
-    return totals.withColumn(
-        "is_complete",
-        enough & (F.col("n_unreadable") == 0) & (F.col("n_last_pages") > 0),
+    whole = enough & (F.col("n_unreadable") == 0) & (F.col("n_last_pages") > 0)
+    names = (
+        "n_pages", "n_records", "declared_count", "n_unreadable", "n_last_pages",
+        "n_repeated_pages",
+    )
+    zero = F.lit(0).cast("long")
+    return folders.withColumn("__whole", whole).agg(
+        *[
+            F.sum(n).alias(n) if n == "declared_count" else F.coalesce(F.sum(n), zero).alias(n)
+            for n in names
+        ],
+        F.coalesce(F.bool_and("__whole"), F.lit(False)).alias("is_complete"),
     )
 
 
@@ -84,8 +134,10 @@ def read_geojson(
     with_position: bool = False,
 ) -> DataFrame:
     """One row per feature: its properties and ``longitude``, ``latitude``, both
-    null without geometry. ``with_position`` adds the file and the place in it,
-    the arrival order of the features."""
+    null without geometry. ``with_position`` adds what tells the arrival order:
+    the file, the ordinal that the document carries as ``page`` (null without
+    one), the place in the document, and whether the file may hold several
+    documents."""
     feature = T.StructType(
         [
             T.StructField("properties", property_schema),
@@ -95,18 +147,23 @@ def read_geojson(
             ),
         ]
     )
-    schema = T.StructType([T.StructField("features", T.ArrayType(feature))])
+    schema = T.StructType(
+        [T.StructField("features", T.ArrayType(feature)), T.StructField("page", T.LongType())]
+    )
     docs = _scan(spark, path, schema, one_per_file)
     if with_position:
         docs = docs.withColumn("_source_file", F.col("_metadata.file_path"))
-    extra = ["_source_file"] if with_position else []
+    extra = []
+    if with_position:
+        extra = ["_source_file", F.col("page").alias("_page")]
     features = docs.select(*extra, F.posexplode("features").alias("_position", "f"))
     point = F.col("f.geometry.coordinates")
     return features.select(
         "f.properties.*",
         F.get(point, F.lit(0)).alias("longitude"),
         F.get(point, F.lit(1)).alias("latitude"),
-        *(["_source_file", "_position"] if with_position else []),
+        *(["_source_file", "_page", "_position"] if with_position else []),
+        *([F.lit(not one_per_file).alias("_in_lines")] if with_position else []),
     )
 
 

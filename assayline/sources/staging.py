@@ -12,6 +12,8 @@ def staging_root(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not _classic(spark):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current is None:
@@ -55,7 +57,20 @@ class Staging:
         return self
 
     def __exit__(self, *_) -> None:
-        jvm = self._spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self._folder)
-        conf = self._spark.sparkContext._jsc.hadoopConfiguration()
-        folder.getFileSystem(conf).delete(folder, True)
+        delete_folder(self._spark, self._folder)
+
+
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder in shared storage. A session without a JVM of its own
+    (Spark Connect) can't: False is returned and the storage's retention for
+    ``staged/`` has to do it."""
+    jvm = getattr(getattr(spark, "sparkContext", None), "_jvm", None) if _classic(spark) else None
+    if jvm is None:
+        return False
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return folder.getFileSystem(conf).delete(folder, True)
+
+
+def _classic(spark: SparkSession) -> bool:
+    return hasattr(spark, "_jsparkSession")

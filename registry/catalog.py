@@ -19,8 +19,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-# Quantiles are exact for groups up to this size.
-ACCURACY = 100_000
 LABEL = "NITRATES (EN NO3)"
 
 
@@ -255,7 +253,7 @@ _EVENT_FLAGS = """e AS (SELECT event_id, event_type, value,
 
 def _event_flags(spark, sf_dir):
     events = views.table(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    return op.flag_iqr_outliers(events, "value", "event_type", accuracy=ACCURACY)
+    return op.flag_iqr_outliers(events, "value", "event_type")
 
 
 @query(f"WITH {_EVENT_FLAGS} SELECT * FROM e")
@@ -288,7 +286,7 @@ FROM flagged"""
 )
 def silver_measures(spark, sf_dir):
     clean = sources.staged(silver.clean_results(_bronze_results(spark, sf_dir)), "clean")
-    results = silver.categorise(silver.flag_outliers(clean, accuracy=ACCURACY))
+    results = silver.categorise(silver.flag_outliers(clean))
     built = silver.build_measures(results)
     return built.select(
         *_MEASURE_COLUMNS.split(", "),
@@ -374,7 +372,7 @@ def _statuses(spark, sf_dir):
 
 def _stats(spark, sf_dir):
     rows = gold.period_stats(
-        views.measures(spark, sf_dir), _dim(spark, sf_dir), accuracy=ACCURACY
+        views.measures(spark, sf_dir), _dim(spark, sf_dir)
     )
     return rows.drop("_gold_timestamp")
 
@@ -828,7 +826,7 @@ UNION ALL SELECT 'silver_stations_uniqueness_suite', 3, true"""
 def quality_suites(spark, sf_dir):
     """The nine suites over silver tables built from the raw views."""
     clean = sources.staged(silver.clean_results(_bronze_results(spark, sf_dir)), "clean")
-    results = silver.categorise(silver.flag_outliers(clean, accuracy=ACCURACY))
+    results = silver.categorise(silver.flag_outliers(clean))
     geo = silver.clean_geo(views.place_rows(spark, sf_dir))
     tables = {
         "stations": silver.build_stations(views.networks(spark, sf_dir), geo),

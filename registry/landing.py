@@ -64,7 +64,13 @@ def collections(rows: DataFrame, page_size: int = PAGE_SIZE) -> str:
         F.when(F.col("longitude").isNotNull(), point).alias("geometry"),
     )
     docs = _paged(features, page_size).select(
-        F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.col("data").alias("features"))).alias("value")
+        F.to_json(
+            F.struct(
+                F.lit("FeatureCollection").alias("type"),
+                F.col("run").alias("page"),
+                F.col("data").alias("features"),
+            )
+        ).alias("value")
     )
     return _saved(docs, "collections")
 
