@@ -106,16 +106,10 @@ def page_completeness(
         F.max("count").alias("declared_count"),
         F.sum("__lost").alias("n_unreadable"),
         F.sum("__last").alias("n_last_pages"),
-        F.sum(F.when(F.col("__page").isNotNull(), F.col("n") - 1).otherwise(0)).alias(
-            "n_repeated_pages"
-        ),
     )
     enough = F.col("n_records") >= F.coalesce(F.col("declared_count"), F.lit(0))
     whole = enough & (F.col("n_unreadable") == 0) & (F.col("n_last_pages") > 0)
-    names = (
-        "n_pages", "n_records", "declared_count", "n_unreadable", "n_last_pages",
-        "n_repeated_pages",
-    )
+    names = ("n_pages", "n_records", "declared_count", "n_unreadable", "n_last_pages")
     zero = F.lit(0).cast("long")
     return folders.withColumn("__whole", whole).agg(
         *[

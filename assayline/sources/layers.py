@@ -107,26 +107,30 @@ def register_external(
     spark: SparkSession,
     table: str,
     path: str,
-    schema: T.StructType,
+    schema: T.StructType | None = None,
     partition_by: Sequence[str] = (),
     file_format: str = "parquet",
 ) -> None:
     """Name the files under ``path`` as a table; ``table`` is already quoted.
 
-    Columns and partition columns are declared, so codes such as ``01`` stay
-    text. Partitions are listed at every call: those that were written or
-    removed since the last one are then known.
+    With ``schema``, columns and partition columns are declared, so codes such
+    as ``01`` stay text; without it they are inferred. Partitions are listed at
+    every call: those that were written or removed since the last one are then
+    known.
     """
     location = path.replace("\\", "\\\\").replace("'", "\\'")
-    parts = [c for c in partition_by if c in schema.names]
-    fields = [f for f in schema if f.name not in parts] + [schema[c] for c in parts]
-    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields)
-    by = f" PARTITIONED BY ({', '.join(quoted(c) for c in parts)})" if parts else ""
+    columns = by = ""
+    if schema is not None:
+        parts = [c for c in partition_by if c in schema.names]
+        fields = [f for f in schema if f.name not in parts] + [schema[c] for c in parts]
+        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields)
+        columns = f" ({columns})"
+        by = f" PARTITIONED BY ({', '.join(quoted(c) for c in parts)})" if parts else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {file_format}{by} "
+        f"CREATE TABLE IF NOT EXISTS {table}{columns} USING {file_format}{by} "
         f"LOCATION '{location}'"
     )
-    if parts:
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
         spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
     else:
         spark.catalog.refreshTable(table)

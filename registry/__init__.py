@@ -1,3 +1,4 @@
+from registry import more  # noqa: F401  registers its queries
 from registry.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

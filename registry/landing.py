@@ -4,7 +4,7 @@ Pages are runs of rows of one scan task, so a page never holds more than
 ``page_size`` records however the keys are spread.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from assayline.plans.jobs import Landing
@@ -83,3 +83,20 @@ def land_all(spark: SparkSession, places: DataFrame, networks: DataFrame, result
         "resultats_dis": envelopes(results),
     }
     return Landing(paths, origins={name: f"landed:{name}" for name in paths}, one_per_file=False)
+
+
+def faulty_envelopes(rows: DataFrame, page_size: int = PAGE_SIZE) -> str:
+    """As ``envelopes``, with the first page lost but for a torn half, and the
+    second landed twice. Pages are numbered; there is one row per page."""
+    total = rows.agg(F.count("*")).scalar()
+    docs = _paged(rows, page_size).withColumn("no", F.row_number().over(Window.orderBy("run")))
+    text = F.to_json(F.struct(total.alias("count"), F.lit(None).cast("string").alias("next"), "data"))
+    torn = F.substring(text, 1, 60)
+    lines = docs.select("no", F.when(F.col("no") == 1, torn).otherwise(text).alias("value"))
+    again = F.explode(F.array_repeat("value", F.when(F.col("no") == 2, 2).otherwise(1)))
+    return _saved(lines.select(again.alias("value")), "faulty")
+
+
+def saved_documents(docs: DataFrame, label: str) -> str:
+    """Folder of one document per line, as the rows are."""
+    return _saved(docs.select(F.to_json(F.struct(*docs.columns)).alias("value")), label)
