@@ -2,155 +2,290 @@
 
 from pyspark.sql import types as T
 
-_KINDS = {
-    "text": T.StringType(),
-    "int": T.IntegerType(),
-    "long": T.LongType(),
-    "double": T.DoubleType(),
-    "bool": T.BooleanType(),
-    "date": T.DateType(),
-    "time": T.TimestampType(),
-    "texts": T.ArrayType(T.StringType()),
-    "networks": T.ArrayType(
-        T.StructType(
-            [T.StructField("code", T.StringType()), T.StructField("nom", T.StringType())]
-        )
-    ),
-}
-
-
-def _schema(**kinds: str) -> T.StructType:
-    return T.StructType(
-        [
-            T.StructField(name, _KINDS[kind])
-            for kind, names in kinds.items()
-            for name in names.split()
-        ]
-    )
-
-
-def ordered(spec: str) -> T.StructType:
-    """``"name kind, name kind"`` to a schema, in that order."""
-    pairs = [part.split() for part in spec.split(",")]
-    return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in pairs])
-
+TEXT = T.StringType()
+INT = T.IntegerType()
+LONG = T.LongType()
+DOUBLE = T.DoubleType()
+BOOL = T.BooleanType()
+DATE = T.DateType()
+TIME = T.TimestampType()
+TEXTS = T.ArrayType(TEXT)
+NETWORK_LIST = T.ArrayType(
+    T.StructType([T.StructField("code", TEXT), T.StructField("nom", TEXT)])
+)
 
 # Record layouts of the landed sources.
-RAW_NETWORKS = _schema(
-    text="code_commune nom_commune nom_quartier code_reseau nom_reseau debut_alim annee"
+RAW_NETWORKS = T.StructType(
+    [
+        T.StructField("code_commune", TEXT),
+        T.StructField("nom_commune", TEXT),
+        T.StructField("nom_quartier", TEXT),
+        T.StructField("code_reseau", TEXT),
+        T.StructField("nom_reseau", TEXT),
+        T.StructField("debut_alim", TEXT),
+        T.StructField("annee", TEXT),
+    ]
 )
-RAW_RESULTS = ordered(
-    "code_departement text, nom_departement text, code_commune text, nom_commune text, "
-    "code_prelevement text, date_prelevement text, reference_analyse text, "
-    "code_installation_amont text, nom_installation_amont text, code_parametre text, "
-    "code_parametre_se text, code_parametre_cas text, libelle_parametre text, "
-    "libelle_parametre_maj text, libelle_parametre_web text, code_type_parametre text, "
-    "code_lieu_analyse text, resultat_alphanumerique text, resultat_numerique double, "
-    "libelle_unite text, code_unite text, limite_qualite_parametre text, "
-    "reference_qualite_parametre text, conclusion_conformite_prelevement text, "
-    "conformite_limites_bact_prelevement text, conformite_limites_pc_prelevement text, "
-    "conformite_references_bact_prelevement text, "
-    "conformite_references_pc_prelevement text, nom_uge text, nom_distributeur text, "
-    "nom_moa text, reseaux networks"
+RAW_RESULTS = T.StructType(
+    [
+        T.StructField("code_departement", TEXT),
+        T.StructField("nom_departement", TEXT),
+        T.StructField("code_commune", TEXT),
+        T.StructField("nom_commune", TEXT),
+        T.StructField("code_prelevement", TEXT),
+        T.StructField("date_prelevement", TEXT),
+        T.StructField("reference_analyse", TEXT),
+        T.StructField("code_installation_amont", TEXT),
+        T.StructField("nom_installation_amont", TEXT),
+        T.StructField("code_parametre", TEXT),
+        T.StructField("code_parametre_se", TEXT),
+        T.StructField("code_parametre_cas", TEXT),
+        T.StructField("libelle_parametre", TEXT),
+        T.StructField("libelle_parametre_maj", TEXT),
+        T.StructField("libelle_parametre_web", TEXT),
+        T.StructField("code_type_parametre", TEXT),
+        T.StructField("code_lieu_analyse", TEXT),
+        T.StructField("resultat_alphanumerique", TEXT),
+        T.StructField("resultat_numerique", DOUBLE),
+        T.StructField("libelle_unite", TEXT),
+        T.StructField("code_unite", TEXT),
+        T.StructField("limite_qualite_parametre", TEXT),
+        T.StructField("reference_qualite_parametre", TEXT),
+        T.StructField("conclusion_conformite_prelevement", TEXT),
+        T.StructField("conformite_limites_bact_prelevement", TEXT),
+        T.StructField("conformite_limites_pc_prelevement", TEXT),
+        T.StructField("conformite_references_bact_prelevement", TEXT),
+        T.StructField("conformite_references_pc_prelevement", TEXT),
+        T.StructField("nom_uge", TEXT),
+        T.StructField("nom_distributeur", TEXT),
+        T.StructField("nom_moa", TEXT),
+        T.StructField("reseaux", NETWORK_LIST),
+    ]
 )
-RAW_PLACES = ordered(
-    "nom text, code text, codeDepartement text, codeRegion text, siren text, "
-    "codeEpci text, codesPostaux texts, population long"
+RAW_PLACES = T.StructType(
+    [
+        T.StructField("nom", TEXT),
+        T.StructField("code", TEXT),
+        T.StructField("codeDepartement", TEXT),
+        T.StructField("codeRegion", TEXT),
+        T.StructField("siren", TEXT),
+        T.StructField("codeEpci", TEXT),
+        T.StructField("codesPostaux", TEXTS),
+        T.StructField("population", LONG),
+    ]
 )
-NETWORK_LIST = _KINDS["networks"]
-
-_LINEAGE = ", _ingestion_timestamp time, _source_api text"
-
 
-def _as_text(schema: T.StructType, *names: str) -> T.StructType:
-    return T.StructType(
-        [T.StructField(f.name, T.StringType()) if f.name in names else f for f in schema]
-    )
+LINEAGE = [T.StructField("_ingestion_timestamp", TIME), T.StructField("_source_api", TEXT)]
 
 
-def _plus(schema: T.StructType, spec: str) -> T.StructType:
-    return T.StructType(schema.fields + ordered(spec.lstrip(", ")).fields)
+def _as_text(schema: T.StructType, *names: str) -> list[T.StructField]:
+    return [T.StructField(f.name, TEXT) if f.name in names else f for f in schema]
 
 
 BRONZE = {
-    "geo_communes": _plus(
-        _as_text(RAW_PLACES, "codesPostaux"), "longitude double, latitude double" + _LINEAGE
+    "geo_communes": T.StructType(
+        [
+            *_as_text(RAW_PLACES, "codesPostaux"),
+            T.StructField("longitude", DOUBLE),
+            T.StructField("latitude", DOUBLE),
+            *LINEAGE,
+        ]
     ),
-    "communes_udi": _plus(RAW_NETWORKS, _LINEAGE),
-    "resultats_dis": _plus(
-        _as_text(RAW_RESULTS, "reseaux"), _LINEAGE + ", _partition_annee int"
+    "communes_udi": T.StructType([*RAW_NETWORKS, *LINEAGE]),
+    "resultats_dis": T.StructType(
+        [
+            *_as_text(RAW_RESULTS, "reseaux"),
+            *LINEAGE,
+            T.StructField("_partition_annee", INT),
+        ]
     ),
 }
 
 # Silver contract, in column order. Department codes stay text.
 SILVER = {
-    "stations": ordered(
-        "code_commune text, nom_commune text, nom_quartier text, code_reseau text, "
-        "nom_reseau text, debut_alim date, annee int, nom_commune_norm text, "
-        "code_departement_geo text, code_region_geo text, population long, "
-        "longitude double, latitude double, _coords_valides bool, _silver_timestamp time"
+    "stations": T.StructType(
+        [
+            T.StructField("code_commune", TEXT),
+            T.StructField("nom_commune", TEXT),
+            T.StructField("nom_quartier", TEXT),
+            T.StructField("code_reseau", TEXT),
+            T.StructField("nom_reseau", TEXT),
+            T.StructField("debut_alim", DATE),
+            T.StructField("annee", INT),
+            T.StructField("nom_commune_norm", TEXT),
+            T.StructField("code_departement_geo", TEXT),
+            T.StructField("code_region_geo", TEXT),
+            T.StructField("population", LONG),
+            T.StructField("longitude", DOUBLE),
+            T.StructField("latitude", DOUBLE),
+            T.StructField("_coords_valides", BOOL),
+            T.StructField("_silver_timestamp", TIME),
+        ]
     ),
-    "mesures": ordered(
-        "code_prelevement text, reference_analyse text, code_commune text, "
-        "nom_commune_norm text, nom_departement_norm text, date_prelevement_ts time, "
-        "mois_prelevement int, code_parametre text, code_parametre_se text, "
-        "code_parametre_cas text, libelle_parametre_norm text, code_type_parametre text, "
-        "categorie_parametre text, code_lieu_analyse text, resultat_parse double, "
-        "resultat_alphanumerique text, est_sous_seuil bool, est_sur_seuil bool, "
-        "libelle_unite_norm text, limite_qualite_parametre text, "
-        "reference_qualite_parametre text, nom_distributeur text, nom_uge text, "
-        "nom_moa text, reseaux text, _resultat_manquant bool, _est_outlier bool, "
-        "_bronze_ingestion_ts time, _silver_timestamp time, annee_prelevement int, "
-        "code_departement text"
+    "mesures": T.StructType(
+        [
+            T.StructField("code_prelevement", TEXT),
+            T.StructField("reference_analyse", TEXT),
+            T.StructField("code_commune", TEXT),
+            T.StructField("nom_commune_norm", TEXT),
+            T.StructField("nom_departement_norm", TEXT),
+            T.StructField("date_prelevement_ts", TIME),
+            T.StructField("mois_prelevement", INT),
+            T.StructField("code_parametre", TEXT),
+            T.StructField("code_parametre_se", TEXT),
+            T.StructField("code_parametre_cas", TEXT),
+            T.StructField("libelle_parametre_norm", TEXT),
+            T.StructField("code_type_parametre", TEXT),
+            T.StructField("categorie_parametre", TEXT),
+            T.StructField("code_lieu_analyse", TEXT),
+            T.StructField("resultat_parse", DOUBLE),
+            T.StructField("resultat_alphanumerique", TEXT),
+            T.StructField("est_sous_seuil", BOOL),
+            T.StructField("est_sur_seuil", BOOL),
+            T.StructField("libelle_unite_norm", TEXT),
+            T.StructField("limite_qualite_parametre", TEXT),
+            T.StructField("reference_qualite_parametre", TEXT),
+            T.StructField("nom_distributeur", TEXT),
+            T.StructField("nom_uge", TEXT),
+            T.StructField("nom_moa", TEXT),
+            T.StructField("reseaux", TEXT),
+            T.StructField("_resultat_manquant", BOOL),
+            T.StructField("_est_outlier", BOOL),
+            T.StructField("_bronze_ingestion_ts", TIME),
+            T.StructField("_silver_timestamp", TIME),
+            T.StructField("annee_prelevement", INT),
+            T.StructField("code_departement", TEXT),
+        ]
     ),
-    "conformite": ordered(
-        "code_prelevement text, date_prelevement_ts time, code_commune text, "
-        "nom_commune_norm text, nom_departement_norm text, nom_distributeur text, "
-        "nom_uge text, conformite_bact_limite_norm text, conformite_pc_limite_norm text, "
-        "conformite_bact_ref_norm text, conformite_pc_ref_norm text, "
-        "conclusion_conformite_prelevement text, reseaux text, conformite_globale text, "
-        "_silver_timestamp time, annee_prelevement int, code_departement text"
+    "conformite": T.StructType(
+        [
+            T.StructField("code_prelevement", TEXT),
+            T.StructField("date_prelevement_ts", TIME),
+            T.StructField("code_commune", TEXT),
+            T.StructField("nom_commune_norm", TEXT),
+            T.StructField("nom_departement_norm", TEXT),
+            T.StructField("nom_distributeur", TEXT),
+            T.StructField("nom_uge", TEXT),
+            T.StructField("conformite_bact_limite_norm", TEXT),
+            T.StructField("conformite_pc_limite_norm", TEXT),
+            T.StructField("conformite_bact_ref_norm", TEXT),
+            T.StructField("conformite_pc_ref_norm", TEXT),
+            T.StructField("conclusion_conformite_prelevement", TEXT),
+            T.StructField("reseaux", TEXT),
+            T.StructField("conformite_globale", TEXT),
+            T.StructField("_silver_timestamp", TIME),
+            T.StructField("annee_prelevement", INT),
+            T.StructField("code_departement", TEXT),
+        ]
     ),
 }
 
-_PLACE = "nom_departement_norm text, code_region_geo text, code_commune text, nom_commune_norm text"
-_POINT = "population long, longitude double, latitude double"
-_COUNTS = (
-    "nb_prelevements_total long, nb_prelevements_conformes long, "
-    "nb_prelevements_non_conformes long, nb_prelevements_sans_objet long"
-)
-_RATES = "taux_conformite_pct double, taux_non_conformite_pct double"
-_PARAMETER = (
-    "code_parametre text, libelle_parametre_norm text, categorie_parametre text, "
-    "libelle_unite_norm text"
-)
-
+# Gold contract, in column order.
 GOLD = {
-    "conformite_commune": ordered(
-        f"{_PLACE}, {_POINT}, _coords_valides bool, {_COUNTS}, {_RATES}, "
-        "_gold_timestamp time, annee_prelevement int, code_departement text"
+    "conformite_commune": T.StructType(
+        [
+            T.StructField("nom_departement_norm", TEXT),
+            T.StructField("code_region_geo", TEXT),
+            T.StructField("code_commune", TEXT),
+            T.StructField("nom_commune_norm", TEXT),
+            T.StructField("population", LONG),
+            T.StructField("longitude", DOUBLE),
+            T.StructField("latitude", DOUBLE),
+            T.StructField("_coords_valides", BOOL),
+            T.StructField("nb_prelevements_total", LONG),
+            T.StructField("nb_prelevements_conformes", LONG),
+            T.StructField("nb_prelevements_non_conformes", LONG),
+            T.StructField("nb_prelevements_sans_objet", LONG),
+            T.StructField("taux_conformite_pct", DOUBLE),
+            T.StructField("taux_non_conformite_pct", DOUBLE),
+            T.StructField("_gold_timestamp", TIME),
+            T.StructField("annee_prelevement", INT),
+            T.StructField("code_departement", TEXT),
+        ]
     ),
-    "evolution_parametres": ordered(
-        f"mois_prelevement int, {_PLACE}, {_PARAMETER}, nb_mesures long, "
-        "nb_resultats_manquants long, nb_outliers long, valeur_moyenne double, "
-        "valeur_mediane double, valeur_min double, valeur_max double, "
-        "pct_resultats_manquants double, pct_outliers double, _gold_timestamp time, "
-        "annee_prelevement int, code_departement text"
+    "evolution_parametres": T.StructType(
+        [
+            T.StructField("mois_prelevement", INT),
+            T.StructField("nom_departement_norm", TEXT),
+            T.StructField("code_region_geo", TEXT),
+            T.StructField("code_commune", TEXT),
+            T.StructField("nom_commune_norm", TEXT),
+            T.StructField("code_parametre", TEXT),
+            T.StructField("libelle_parametre_norm", TEXT),
+            T.StructField("categorie_parametre", TEXT),
+            T.StructField("libelle_unite_norm", TEXT),
+            T.StructField("nb_mesures", LONG),
+            T.StructField("nb_resultats_manquants", LONG),
+            T.StructField("nb_outliers", LONG),
+            T.StructField("valeur_moyenne", DOUBLE),
+            T.StructField("valeur_mediane", DOUBLE),
+            T.StructField("valeur_min", DOUBLE),
+            T.StructField("valeur_max", DOUBLE),
+            T.StructField("pct_resultats_manquants", DOUBLE),
+            T.StructField("pct_outliers", DOUBLE),
+            T.StructField("_gold_timestamp", TIME),
+            T.StructField("annee_prelevement", INT),
+            T.StructField("code_departement", TEXT),
+        ]
     ),
-    "qualite_region": ordered(
-        f"code_region_geo text, nb_communes long, {_COUNTS}, population_couverte long, "
-        f"{_RATES}, _gold_timestamp time, annee_prelevement int"
+    "qualite_region": T.StructType(
+        [
+            T.StructField("code_region_geo", TEXT),
+            T.StructField("nb_communes", LONG),
+            T.StructField("nb_prelevements_total", LONG),
+            T.StructField("nb_prelevements_conformes", LONG),
+            T.StructField("nb_prelevements_non_conformes", LONG),
+            T.StructField("nb_prelevements_sans_objet", LONG),
+            T.StructField("population_couverte", LONG),
+            T.StructField("taux_conformite_pct", DOUBLE),
+            T.StructField("taux_non_conformite_pct", DOUBLE),
+            T.StructField("_gold_timestamp", TIME),
+            T.StructField("annee_prelevement", INT),
+        ]
     ),
-    "top10_communes": ordered(
-        f"code_departement text, {_PLACE}, {_POINT}, {_COUNTS}, {_RATES}, rang int, "
-        "classement_type text, _gold_timestamp time"
+    "top10_communes": T.StructType(
+        [
+            T.StructField("code_departement", TEXT),
+            T.StructField("nom_departement_norm", TEXT),
+            T.StructField("code_region_geo", TEXT),
+            T.StructField("code_commune", TEXT),
+            T.StructField("nom_commune_norm", TEXT),
+            T.StructField("population", LONG),
+            T.StructField("longitude", DOUBLE),
+            T.StructField("latitude", DOUBLE),
+            T.StructField("nb_prelevements_total", LONG),
+            T.StructField("nb_prelevements_conformes", LONG),
+            T.StructField("nb_prelevements_non_conformes", LONG),
+            T.StructField("nb_prelevements_sans_objet", LONG),
+            T.StructField("taux_conformite_pct", DOUBLE),
+            T.StructField("taux_non_conformite_pct", DOUBLE),
+            T.StructField("rang", INT),
+            T.StructField("classement_type", TEXT),
+            T.StructField("_gold_timestamp", TIME),
+        ]
     ),
-    "non_conformites": ordered(
-        f"{_PLACE}, {_PARAMETER}, nb_prelevements_non_conformes long, "
-        "nb_mesures_associees long, nb_mesures_avec_seuil_reglementaire long, "
-        "valeur_moyenne double, valeur_max double, nb_outliers long, "
-        "nb_mesures_sous_seuil long, pct_outliers double, _gold_timestamp time, "
-        "annee_prelevement int, code_departement text"
+    "non_conformites": T.StructType(
+        [
+            T.StructField("nom_departement_norm", TEXT),
+            T.StructField("code_region_geo", TEXT),
+            T.StructField("code_commune", TEXT),
+            T.StructField("nom_commune_norm", TEXT),
+            T.StructField("code_parametre", TEXT),
+            T.StructField("libelle_parametre_norm", TEXT),
+            T.StructField("categorie_parametre", TEXT),
+            T.StructField("libelle_unite_norm", TEXT),
+            T.StructField("nb_prelevements_non_conformes", LONG),
+            T.StructField("nb_mesures_associees", LONG),
+            T.StructField("nb_mesures_avec_seuil_reglementaire", LONG),
+            T.StructField("valeur_moyenne", DOUBLE),
+            T.StructField("valeur_max", DOUBLE),
+            T.StructField("nb_outliers", LONG),
+            T.StructField("nb_mesures_sous_seuil", LONG),
+            T.StructField("pct_outliers", DOUBLE),
+            T.StructField("_gold_timestamp", TIME),
+            T.StructField("annee_prelevement", INT),
+            T.StructField("code_departement", TEXT),
+        ]
     ),
 }
 

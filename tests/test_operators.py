@@ -51,7 +51,7 @@ def test_hot_key_matches_a_plain_scan(spark):
 
 def test_handle_missing(spark):
     df = spark.createDataFrame(
-        [("t1", "64001", "P1", 1.2, None, None), ("t2", "64002", "P2", None, "mg/L", "EAU64"),
+        [("t1", "64901", "P1", 1.2, None, None), ("t2", "64902", "P2", None, "mg/L", "EAU64"),
          ("t3", None, "P3", 3.4, "mg/L", "EAU64")],
         "ts string, place string, parameter string, value double, unit string, owner string",
     )
@@ -134,7 +134,7 @@ def test_nested_to_json(spark):
 
 
 def test_ranking(spark):
-    data = [("PAU", 100.0, 10), ("BIZANOS", 60.0, 10), ("LESCAR", 20.0, 10), ("NUL", None, 99)]
+    data = [("TOURNE", 100.0, 10), ("ARVELLE", 60.0, 10), ("MONTSAC", 20.0, 10), ("NUL", None, 99)]
     df = spark.createDataFrame(data, "name string, rate double, total int")
 
     def ranked(frame, k):
@@ -142,7 +142,7 @@ def test_ranking(spark):
         return rows(got.select("classement_type", "rang", "name"))
 
     assert ranked(df, 2) == [
-        ("B", 1, "PAU"), ("B", 2, "BIZANOS"), ("W", 1, "LESCAR"), ("W", 2, "BIZANOS"),
+        ("B", 1, "TOURNE"), ("B", 2, "ARVELLE"), ("W", 1, "MONTSAC"), ("W", 2, "ARVELLE"),
     ]
     assert ("B", 4, "NUL") in ranked(df, 10) and ("W", 4, "NUL") in ranked(df, 10)
     assert ranked(df.repartition(1), 3) == ranked(df.repartition(17), 3)

@@ -50,9 +50,9 @@ def test_land_results(spark):
 
 def raw(spark, *records):
     schema = schemas.BRONZE["resultats_dis"]
-    base = {"code_prelevement": "S1", "code_parametre": "P1", "code_commune": "64445",
+    base = {"code_prelevement": "S1", "code_parametre": "P1", "code_commune": "64945",
             "date_prelevement": "2025-02-26T12:55:00Z", "libelle_parametre": " Nitrates ",
-            "nom_commune": " Pau"}
+            "nom_commune": " Tourne"}
     return filled(spark, schema, *[{**base, **r} for r in records]).withColumn(
         "_ingestion_timestamp", F.coalesce("_ingestion_timestamp", F.lit(MOMENT).cast("timestamp"))
     )
@@ -90,8 +90,8 @@ def test_clean_results(spark):
         "conformite_bact_limite_norm", "nom_distributeur", "_resultat_manquant",
     )
     assert rows(got) == [
-        ("P1", "NITRATES", "PAU", "mg/L", "N", "INCONNU", False),
-        ("P2", "NITRATES", "PAU", "INCONNUE", None, "EAU64", True),
+        ("P1", "NITRATES", "TOURNE", "mg/L", "N", "INCONNU", False),
+        ("P2", "NITRATES", "TOURNE", "INCONNUE", None, "EAU64", True),
     ]
 
 
@@ -141,16 +141,16 @@ def test_measures_have_the_contract_columns(spark):
 def test_stations(spark):
     networks = filled(
         spark, schemas.RAW_NETWORKS,
-        {"code_commune": "64445", "nom_commune": " Pau ", "code_reseau": "R", "nom_quartier": "Q",
+        {"code_commune": "64945", "nom_commune": " Tourne ", "code_reseau": "R", "nom_quartier": "Q",
          "debut_alim": "2010-10-16", "annee": "2026"},
-        {"code_commune": "64445", "nom_commune": " Pau ", "code_reseau": "R", "nom_quartier": "Q",
+        {"code_commune": "64945", "nom_commune": " Tourne ", "code_reseau": "R", "nom_quartier": "Q",
          "debut_alim": "2010-10-16", "annee": "2026"},
         {"code_commune": "99999", "nom_commune": "X", "code_reseau": "R", "debut_alim": "x",
          "annee": "x"},
     )
     geo = silver.clean_geo(
         filled(spark, schemas.BRONZE["geo_communes"],
-               {"code": "64445", "nom": "Pau", "codeDepartement": "64", "codeRegion": "75",
+               {"code": "64945", "nom": "Tourne", "codeDepartement": "64", "codeRegion": "75",
                 "population": 80441, "longitude": -0.37, "latitude": 43.29})
     )
     got = silver.build_stations(networks, geo, MOMENT)
@@ -158,7 +158,7 @@ def test_stations(spark):
     picked = got.select("code_commune", "nom_commune_norm", F.col("debut_alim").cast("string"),
                         "annee", "code_region_geo", "population", "_coords_valides")
     assert rows(picked) == [
-        ("64445", "PAU", "2010-10-16", 2026, "75", 80441, True),
+        ("64945", "TOURNE", "2010-10-16", 2026, "75", 80441, True),
         ("99999", "X", None, None, None, None, None),
     ]
 
@@ -179,15 +179,15 @@ def dim(spark):
     return gold.entity_dim(
         filled(
             spark, schemas.SILVER["stations"],
-            {"code_commune": "64001", "nom_commune_norm": "PAU", "code_region_geo": "75",
+            {"code_commune": "64901", "nom_commune_norm": "TOURNE", "code_region_geo": "75",
              "population": 1000, "longitude": -0.37, "latitude": 43.29, "_coords_valides": True},
-            {"code_commune": "64002", "nom_commune_norm": "BIZANOS", "code_region_geo": "75",
+            {"code_commune": "64902", "nom_commune_norm": "ARVELLE", "code_region_geo": "75",
              "population": 500, "longitude": -0.35, "latitude": 43.28, "_coords_valides": True},
         )
     )
 
 
-def sample(code, status, commune="64001", name="PAU"):
+def sample(code, status, commune="64901", name="TOURNE"):
     return {"code_prelevement": code, "conformite_globale": status, "annee_prelevement": 2025,
             "code_departement": "64", "nom_departement_norm": "PYRENEES-ATLANTIQUES",
             "code_commune": commune, "nom_commune_norm": name}
@@ -198,7 +198,7 @@ def conformity(spark):
     return filled(
         spark, schemas.SILVER["conformite"],
         sample("P1", "C"), sample("P2", "N"), sample("P3", "C"),
-        sample("P4", "S", "64002", "BIZANOS"), sample("P5", "C", "64002", "BIZANOS VILLE"),
+        sample("P4", "S", "64902", "ARVELLE"), sample("P5", "C", "64902", "ARVELLE VILLE"),
     )
 
 
@@ -206,14 +206,14 @@ def test_status_rollup(conformity, dim):
     got = gold.status_rollup(conformity, dim, MOMENT)
     assert got.schema.simpleString() == schemas.GOLD["conformite_commune"].simpleString()
     by_name = {r.nom_commune_norm: r for r in got.collect()}
-    pau = by_name["PAU"]
-    assert (pau.nb_prelevements_total, pau.nb_prelevements_conformes,
-            pau.nb_prelevements_non_conformes) == (3, 2, 1)
-    assert (pau.taux_conformite_pct, pau.taux_non_conformite_pct) == (66.67, 33.33)
-    assert pau.population == 1000 and pau.code_region_geo == "75"
-    assert by_name["BIZANOS"].nb_prelevements_sans_objet == 1
+    tourne = by_name["TOURNE"]
+    assert (tourne.nb_prelevements_total, tourne.nb_prelevements_conformes,
+            tourne.nb_prelevements_non_conformes) == (3, 2, 1)
+    assert (tourne.taux_conformite_pct, tourne.taux_non_conformite_pct) == (66.67, 33.33)
+    assert tourne.population == 1000 and tourne.code_region_geo == "75"
+    assert by_name["ARVELLE"].nb_prelevements_sans_objet == 1
     # Same code, other name: no geography.
-    assert by_name["BIZANOS VILLE"].code_region_geo is None
+    assert by_name["ARVELLE VILLE"].code_region_geo is None
     assert sum(r.nb_prelevements_total for r in by_name.values()) == conformity.count()
 
 
@@ -232,7 +232,7 @@ def test_rollup_comes_before_the_join(conformity, dim):
 
 def test_period_stats(spark, dim):
     base = {"annee_prelevement": 2025, "mois_prelevement": 1, "code_departement": "64",
-            "code_commune": "64001", "nom_commune_norm": "PAU", "code_parametre": "NIT",
+            "code_commune": "64901", "nom_commune_norm": "TOURNE", "code_parametre": "NIT",
             "libelle_parametre_norm": "NITRATES", "categorie_parametre": "CHIMIE",
             "libelle_unite_norm": "mg/L"}
     facts = [(False, False, 10.0), (True, False, None), (False, True, 14.0)]
@@ -264,13 +264,13 @@ def test_region_rollup(conformity, dim):
 
 def test_region_rollup_counts_a_shared_sample_once(spark, dim):
     df = filled(spark, schemas.SILVER["conformite"], sample("P1", "C"),
-                sample("P1", "C", "64002", "BIZANOS"))
+                sample("P1", "C", "64902", "ARVELLE"))
     got = gold.region_rollup(df, dim, gold.region_population(dim)).first()
     assert (got.nb_communes, got.nb_prelevements_total, got.nb_prelevements_conformes) == (2, 1, 2)
 
 
 def test_best_and_worst(spark):
-    names = [("PAU", 100.0), ("BIZANOS", 60.0), ("LESCAR", 20.0)]
+    names = [("TOURNE", 100.0), ("ARVELLE", 60.0), ("MONTSAC", 20.0)]
     df = filled(
         spark, schemas.GOLD["top10_communes"],
         *[{"nom_commune_norm": n, "code_commune": n, "taux_conformite_pct": r,
@@ -278,8 +278,8 @@ def test_best_and_worst(spark):
     ).drop("rang", "classement_type", "_gold_timestamp")
     got = gold.best_worst(df, 2, MOMENT)
     assert rows(got.select("classement_type", "rang", "nom_commune_norm")) == [
-        ("MOINS_CONFORME", 1, "LESCAR"), ("MOINS_CONFORME", 2, "BIZANOS"),
-        ("PLUS_CONFORME", 1, "PAU"), ("PLUS_CONFORME", 2, "BIZANOS"),
+        ("MOINS_CONFORME", 1, "MONTSAC"), ("MOINS_CONFORME", 2, "ARVELLE"),
+        ("PLUS_CONFORME", 1, "TOURNE"), ("PLUS_CONFORME", 2, "ARVELLE"),
     ]
 
 
@@ -287,8 +287,8 @@ def test_scores_collapse_years(conformity, dim):
     one = gold.status_rollup(conformity, dim, MOMENT)
     other = one.withColumn("annee_prelevement", F.lit(2024))
     scores = {r.nom_commune_norm: r for r in gold.score_rollup(one.unionByName(other)).collect()}
-    assert scores["PAU"].nb_prelevements_total == 6
-    assert scores["PAU"].taux_conformite_pct == 66.67 and scores["PAU"].population == 1000
+    assert scores["TOURNE"].nb_prelevements_total == 6
+    assert scores["TOURNE"].taux_conformite_pct == 66.67 and scores["TOURNE"].population == 1000
 
 
 def test_violations(spark, conformity, dim):
@@ -301,7 +301,7 @@ def test_violations(spark, conformity, dim):
     got = gold.violation_profile(gold.failed_samples(conformity), measures, dim, MOMENT)
     assert got.schema.simpleString() == schemas.GOLD["non_conformites"].simpleString()
     r = got.first()
-    assert got.count() == 1 and r.nom_commune_norm == "PAU"
+    assert got.count() == 1 and r.nom_commune_norm == "TOURNE"
     assert (r.nb_prelevements_non_conformes, r.nb_mesures_associees) == (1, 2)
     assert (r.nb_mesures_avec_seuil_reglementaire, r.nb_outliers, r.pct_outliers) == (1, 1, 50.0)
     assert (r.valeur_moyenne, r.valeur_max) == (2.5, 4.0)

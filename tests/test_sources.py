@@ -59,20 +59,20 @@ def test_arrays_and_records(spark, tmp_path):
 
 def feature(code, name, point="none"):
     geometry = None if point == "none" else {"type": "Point", "coordinates": point}
-    return {"type": "Feature", "properties": {"nom": name, "code": code, "codesPostaux": ["64000"]},
+    return {"type": "Feature", "properties": {"nom": name, "code": code, "codesPostaux": ["64900"]},
             "geometry": geometry}
 
 
 def test_geojson(spark, tmp_path):
     path = save(
         tmp_path / "geo",
-        a={"features": [feature("64445", "Pau", [-0.3708, 43.2951]), feature("1", "x"),
+        a={"features": [feature("64945", "Tourne", [-0.3708, 43.2951]), feature("1", "x"),
                         feature("2", "y", []), feature("3", "z", [1.5])]},
     )
     got = sources.read_geojson(spark, path, schemas.RAW_PLACES)
     assert rows(got.select("code", "nom", "longitude", "latitude")) == [
         ("1", "x", None, None), ("2", "y", None, None), ("3", "z", 1.5, None),
-        ("64445", "Pau", -0.3708, 43.2951),
+        ("64945", "Tourne", -0.3708, 43.2951),
     ]
 
 
