@@ -8,8 +8,8 @@ from assayline.llm.common import stage, text_or_empty, word_count
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
 SEED = 17
-# Slices of the rank order; the cut is looked for in one of them.
-SLICES = 65536
+# Slices of the rank order, and slices that are summed together at first.
+SLICES, GROUP = 65536, 256
 
 
 def source_targets(
@@ -55,6 +55,19 @@ def source_targets(
     )
 
 
+def _first_reaching(sums: DataFrame, place: str) -> DataFrame:
+    """Per source the first place at which ``__start`` and the running sum of
+    ``__words`` reach ``__need``, and the sum before it."""
+    running = Window.partitionBy("source_no").orderBy(place)
+    upto = sums.withColumn("__upto", F.col("__start") + F.sum("__words").over(running))
+    before = (F.col("__upto") - F.col("__words")).alias("__before")
+    return (
+        upto.filter(F.col("__upto") >= F.col("__need"))
+        .groupBy("source_no")
+        .agg(F.min(F.struct(place, before)).alias("__cut"))
+    )
+
+
 def mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -148,18 +161,22 @@ def mix(
     sums = ranked.filter("size > 0").groupBy("source_no", "__slice").agg(
         F.sum("size").alias("__words"), F.first("__need").alias("__need")
     )
-    running = Window.partitionBy("source_no").orderBy("__slice")
-    upto = sums.withColumn("__upto", F.sum("__words").over(running))
-    cuts = stage(
-        upto.filter(F.col("__upto") >= F.col("__need"))
-        .groupBy("source_no")
-        .agg(
-            F.min(F.struct("__slice", (F.col("__upto") - F.col("__words")).alias("__before")))
-            .alias("__cut")
-        )
-        .select(F.col("source_no").alias("__no"), "__cut"),
-        "mix-cuts",
+    # The group of slices, then the slice: each looks at some hundred sums.
+    grouped = sums.withColumn("__group", F.floor(F.col("__slice") / GROUP))
+    totals = grouped.groupBy("source_no", "__group").agg(
+        F.sum("__words").alias("__words"), F.first("__need").alias("__need")
+    )
+    rough = _first_reaching(totals.withColumn("__start", F.lit(0).cast("long")), "__group")
+    narrowed = grouped.join(
+        rough.select(
+            F.col("source_no").alias("__no"),
+            F.col("__cut.__group").alias("__at"),
+            F.col("__cut.__before").alias("__start"),
+        ),
+        (F.col("source_no") == F.col("__no")) & (F.col("__group") == F.col("__at")),
     )
+    fine = _first_reaching(narrowed, "__slice")
+    cuts = stage(fine.select(F.col("source_no").alias("__no"), "__cut"), "mix-cuts")
     placed = ranked.join(cuts, F.col("source_no") == F.col("__no"), "left").drop("__no")
     # Without a cut the whole source is needed; sizes of 0 take nothing anyway.
     inside = (F.col("size") > 0) & (F.col("__slice") == F.col("__cut.__slice"))
