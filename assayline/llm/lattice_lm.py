@@ -235,6 +235,22 @@ def _document_parts(shared):
     return run
 
 
+def _least_sent(scored: DataFrame) -> int:
+    """Count from which on at most ``SENT`` words have so many. Words are
+    counted by eighths of powers of two, so some hundred rows are looked at."""
+    step = F.floor(F.log2("n") * 8).cast("int")
+    sizes = scored.filter("n > 0").groupBy(step.alias("step")).agg(
+        F.count("*").alias("words"), F.min("n").alias("least")
+    )
+    least, sent = 1 << 62, 0
+    for row in sorted(sizes.collect(), key=lambda r: -r["step"]):
+        sent += row["words"]
+        if sent > SENT:
+            break
+        least = row["least"]
+    return least
+
+
 def score_documents(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -260,7 +276,7 @@ def score_documents(
     1. Words are counted in the map tasks and summed by word.
     2. Piece counts (at most the vocabulary's size) reach the driver; piece
        scores are sent to the tasks that score the distinct words.
-    3. The ``SENT`` most frequent words are sent to every task, so most
+    3. The most frequent words, at most ``SENT``, are sent to every task, so most
        occurrences are summed where the text is read. The rarer ones move as
        (row, word, times) to a join with the word table and are summed by row.
 
@@ -316,9 +332,9 @@ def score_documents(
         ),
         "lm-scores",
     )
-    top = scored.orderBy(F.col("n").desc(), "word").limit(SENT).collect()
     sent = {
-        bytes(r["word"]): (int(r["n"] > 0), r["base"], r["score"], r["pieces"]) for r in top
+        bytes(r["word"]): (int(r["n"] > 0), r["base"], r["score"], r["pieces"])
+        for r in scored.filter(F.col("n") >= _least_sent(scored)).collect()
     }
     parted = stage(
         source.mapInArrow(
