@@ -39,6 +39,17 @@ def crc_part(column: str, parts: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % parts
 
 
+def sampled(df: DataFrame, column: str, most: int, total: int) -> DataFrame:
+    """At most ``most`` of the ``total`` rows, those with the smallest hashes of
+    ``column``. A share of the hashes is cut off first that leaves half as many
+    rows again, so the sort and the limit see a bounded number of rows however
+    many tasks there are."""
+    steps = 1 << 30
+    place = F.pmod(F.xxhash64(column), F.lit(steps))
+    share = min(steps, int(1.5 * steps * (most + 100) / max(1, total)))
+    return df.filter(place < share).orderBy(place, column).limit(most)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back. A lost executor
     then costs a re-read, and later joins know the real size. The folder goes

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayline.llm.common import WHITE, WORD, crc_part, stage, text_or_empty
+from assayline.llm.common import WHITE, WORD, crc_part, sampled, stage, text_or_empty
 
 # The classifier is fitted on at most so many labelled documents.
 SAMPLE = 20_000
@@ -124,17 +124,16 @@ def site_quality(
         rows.join(labelled, F.col("__id") == F.col("__label_id")).drop("__label_id"),
         "site-labelled",
     )
+    overall = trained.agg(F.sum("__good"), F.count("*")).first()
     # At most ``sample`` rows of ten numbers.
     chosen = (
-        trained.orderBy(F.xxhash64("__id"), "__id")
-        .limit(sample)
+        sampled(trained, "__id", sample, overall[1])
         .select(*EVIDENCE, "__good")
         .toPandas()
     )
     weights = fit_evidence(
         chosen[list(EVIDENCE)].to_numpy(float), chosen["__good"].to_numpy(float)
     )
-    overall = trained.agg(F.sum("__good"), F.count("*")).first()
     rate = ((overall[0] or 0.0) + 0.5) / (overall[1] + 1.0)
     counts = [F.sum("__good").alias("__k"), F.count("*").alias("__n")]
     paths = stage(trained.groupBy("__host", "__path").agg(*counts), "site-paths")
