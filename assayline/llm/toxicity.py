@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayline.llm.common import WORD, crc_part
+from assayline.llm.common import WORD, crc_part, sampled
 
 # The fit uses at most so many labelled documents of each kind, whole.
 TOXIC_SAMPLE, CLEAN_SAMPLE = 1500, 4000
@@ -352,8 +352,9 @@ def training_sample(
         .agg((F.max("toxic") > 0).cast("int").alias("__toxic"))
         .withColumn("__h", F.xxhash64("__label_id"))
     )
+    totals = {r["__toxic"]: r["count"] for r in chosen.groupBy("__toxic").count().collect()}
     parts = [
-        chosen.filter(F.col("__toxic") == kind).orderBy("__h", "__label_id").limit(most)
+        sampled(chosen.filter(F.col("__toxic") == kind), "__label_id", most, totals.get(kind, 0))
         for kind, most in ((1, toxic), (0, clean))
     ]
     # At most ``toxic + clean`` ids.
