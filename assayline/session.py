@@ -8,8 +8,6 @@ def local_session(cpus: str = "8", app: str = "assayline", **conf: str) -> Spark
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": cpus,
         "spark.sql.adaptive.enabled": "true",
-        # Quantile sketches per task before the aggregate turns to sorting.
-        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
