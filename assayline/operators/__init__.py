@@ -1,5 +1,6 @@
 from assayline.operators.filters import apply_filters, filter_members
 from assayline.operators.keyed import first_per_key, latest_per_key
+from assayline.operators.metrics import Metrics
 from assayline.operators.outliers import flag_iqr_outliers, iqr_bounds
 from assayline.operators.profile import (
     distinct_values,
@@ -19,6 +20,7 @@ from assayline.operators.shape import (
 )
 
 __all__ = [
+    "Metrics",
     "apply_filters",
     "best_worst_k",
     "distinct_values",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayline import schemas
+from assayline.operators import Metrics
 from assayline.plans import bronze as to_bronze
 from assayline.plans import gold as to_gold
 from assayline.plans import quality as rules
@@ -112,9 +113,15 @@ def completeness(
 
 
 def silver(
-    spark: SparkSession, layout: Layout, moment: str | None = None, accuracy: int | None = None
+    spark: SparkSession,
+    layout: Layout,
+    moment: str | None = None,
+    accuracy: int | None = None,
+    metrics: Metrics | None = None,
 ) -> dict[str, int]:
-    """Cleaned results feed the bounds, the measures and the conformity, so they
+    """``metrics`` counts the rows of each cleaning step while it runs.
+
+    Cleaned results feed the bounds, the measures and the conformity, so they
     are staged: the shuffle that removes copies runs once, and a lost executor
     costs a re-read instead of that shuffle."""
     bronze_table = {
@@ -125,9 +132,16 @@ def silver(
     geo = to_silver.clean_geo(bronze_table["geo_communes"])
     stations = to_silver.build_stations(bronze_table["communes_udi"], geo, moment)
     with Staging(spark) as stage:
-        clean = stage(to_silver.clean_results(bronze_table["resultats_dis"]), "clean_results")
+        clean = stage(to_silver.clean_results(bronze_table["resultats_dis"], metrics), "clean_results")
         bounds = stage(to_silver.result_bounds(clean, accuracy), "result_bounds")
         results = to_silver.categorise_stored(to_silver.flag_outliers(clean, bounds))
+        if metrics is not None:
+            results = metrics.rows(
+                results,
+                "measures",
+                n_outliers=F.count_if("_est_outlier"),
+                n_missing=F.count_if("_resultat_manquant"),
+            )
         tables = {
             "stations": stations,
             "mesures": to_silver.build_measures(results, moment),
@@ -234,10 +248,12 @@ def run(
     only: str | Sequence[str] | None = None,
     strict: bool = False,
     accuracy: int | None = None,
+    metrics: Metrics | None = None,
 ) -> dict[str, dict[str, int] | DataFrame]:
     """Run a range of layers in one session. A failing stage stops the run.
     ``only`` and ``strict`` are for the bronze stage; ``accuracy`` takes
-    quantile sketches of that size instead of exact quantiles."""
+    quantile sketches of that size instead of exact quantiles; ``metrics``
+    counts the rows of the silver steps."""
     done: dict[str, dict[str, int] | DataFrame] = {}
     for stage in stage_range(first, last, with_quality):
         if stage == "bronze":
@@ -246,7 +262,8 @@ def run(
             done[stage] = bronze(spark, layout, landing, only, moment, strict)
         elif stage == "quality":
             done[stage] = quality(spark, layout, gate)
+        elif stage == "silver":
+            done[stage] = silver(spark, layout, moment, accuracy, metrics)
         else:
-            job = silver if stage == "silver" else gold
-            done[stage] = job(spark, layout, moment, accuracy)
+            done[stage] = gold(spark, layout, moment, accuracy)
     return done

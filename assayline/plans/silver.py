@@ -18,6 +18,7 @@ from assayline.functions import (
     worst_of_status,
 )
 from assayline.operators import (
+    Metrics,
     first_per_key,
     flag_iqr_outliers,
     handle_missing,
@@ -103,16 +104,28 @@ def settle_missing(results: DataFrame) -> DataFrame:
     )
 
 
-def clean_results(raw: DataFrame) -> DataFrame:
+def clean_results(raw: DataFrame, metrics: Metrics | None = None) -> DataFrame:
     """Raw results to one typed, normalised row per result, with the columns
     silver tables are made of.
 
     Copies go first, while rows are narrow and untyped: the key and the load
     time are raw columns. Rows with an unusable date or without a parameter are
-    dropped before that shuffle, as both only depend on the key.
+    dropped before that shuffle, as both only depend on the key. With
+    ``metrics`` rows are counted on their way, without a scan of their own; the
+    filters then stay behind the first count.
     """
     used = raw.select(*[c for c in raw.columns if c in RAW_USED])
-    clean = settle_missing(normalise_results(type_results(dedupe_results(used))))
+    if metrics is None:
+        clean = settle_missing(normalise_results(type_results(dedupe_results(used))))
+    else:
+        one = metrics.rows(dedupe_results(metrics.rows(used, "landed")), "deduped")
+        typed = metrics.rows(
+            normalise_results(type_results(one)),
+            "typed",
+            n_null_date=F.count_if(F.col("date_prelevement_ts").isNull()),
+            n_null_result=F.count_if(F.col("resultat_parse").isNull()),
+        )
+        clean = metrics.rows(settle_missing(typed), "clean")
     return clean.select(*[c for c in clean.columns if c in CONTRACT])
 
 

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from assayline import schemas
-from assayline.operators import null_profile
+from assayline.operators import Metrics, null_profile
 from assayline.plans import jobs, reports
 from assayline.sources import Layout, read_table
 
@@ -51,15 +51,19 @@ def main(arguments: Sequence[str] | None = None) -> None:
     layout = Layout(root=asked.root, catalog=asked.catalog, namespaces=names)
     if landing is not None and asked.first == "bronze":
         jobs.completeness(spark, landing, asked.only).show(truncate=False)
+    metrics = Metrics()
     done = jobs.run(
         spark, layout, landing, asked.first, asked.last, asked.with_quality, asked.gate,
         only=asked.only, strict=asked.strict, accuracy=asked.accuracy,
+        metrics=metrics,
     )
     for stage, stored in done.items():
         if isinstance(stored, dict):
             for table, rows in stored.items():
                 print(f"{stage}.{table}: {rows} rows")
     if "silver" in done:
+        for step, counts in metrics.get().items():
+            print(f"step {step}: {counts}")
         for name, contract in schemas.SILVER.items():
             stored = read_table(spark, layout, "silver", name, contract)
             null_profile(stored, contract.names).show(len(contract), truncate=False)

@@ -144,6 +144,20 @@ def test_stored_labels_are_categorised_in_generated_code(spark):
     assert "lambda" not in plan_of(plain)
 
 
+def test_steps_are_counted_while_they_run(spark, tmp_path):
+    layout = Layout(root=str(tmp_path / "out"))
+    jobs.run(spark, layout, landed(tmp_path / "in"), last="bronze", moment=MOMENT)
+    metrics = op.Metrics()
+    stored = jobs.silver(spark, layout, MOMENT, metrics=metrics)
+    seen = metrics.get()
+    raw = sources.read_table(spark, layout, "bronze", "resultats_dis", schemas.BRONZE["resultats_dis"])
+    assert seen["landed"]["n_rows"] == raw.count()
+    typed = silver.type_results(silver.dedupe_results(raw))
+    assert seen["deduped"]["n_rows"] == seen["typed"]["n_rows"] == typed.count()
+    assert seen["typed"]["n_null_result"] == typed.filter("resultat_parse IS NULL").count()
+    assert seen["clean"]["n_rows"] == seen["measures"]["n_rows"] == stored["mesures"]
+
+
 def test_default_label_is_of_the_year_and_an_offered_one_is_kept(spark):
     statuses = spark.createDataFrame([(2024,), (2025,)], "annee_prelevement int")
     stats = spark.createDataFrame(
@@ -162,6 +176,7 @@ def test_submit_in_catalog_mode(spark, tmp_path, capsys):
     submit.main([*names, "--landing", str(tmp_path / "in"), "--with-quality"])
     shown = capsys.readouterr().out
     assert "gold.conformite_commune: 2 rows" in shown and "TOTAL" in shown
+    assert "step landed: {'n_rows': " in shown and "n_outliers" in shown
     assert spark.table("sub_silver.quality_results").count() > 50
     spark.sql("USE default")
     for layer in ("bronze", "silver", "gold"):
