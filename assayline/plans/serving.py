@@ -94,13 +94,15 @@ class Page:
     total: DataFrame
 
     def with_total(self) -> DataFrame:
-        """The rows with ``row_count``. A page behind the end is one row that is
-        empty but for the count."""
-        shown = self.rows.withColumn("row_count", self.total.scalar())
+        return self.rows.withColumn("row_count", self.total.scalar())
+
+    def total_with_rows(self) -> DataFrame:
+        """As ``with_total``, but a page behind the end is one row that is empty
+        except for ``row_count``."""
         n_shown = self.rows.agg(F.count("*")).scalar()
         blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.rows.schema]
         none = self.total.select(*blank, "row_count").filter(n_shown == 0)
-        return shown.unionByName(none)
+        return self.with_total().unionByName(none)
 
 
 def table_order(table: str) -> list[Column]:

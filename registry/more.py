@@ -188,7 +188,7 @@ def page_behind_the_end(spark, sf_dir):
         _statuses(spark, sf_dir), "conformite_commune", limit=5, offset=10_000_000,
         annee_prelevement=1998,
     )
-    return page.with_total().select("code_commune", "row_count")
+    return page.total_with_rows().select("code_commune", "row_count")
 
 
 @query(
