@@ -162,15 +162,16 @@ WITH t AS (
 ), sound AS (
   SELECT * FROM b WHERE NOT base_failed AND n_words >= {rules.LEAST_WORDS}
 ), sums AS (
-  SELECT lang, {_pool("classes", len(rules.CLASSES))} AS cs, {_pool("common", len(rules.COMMON))}
+  SELECT lang, grouping(lang) AS whole, {_pool("classes", len(rules.CLASSES))} AS cs, {_pool("common", len(rules.COMMON))}
     AS ws, CAST(sum(chars) AS BIGINT) AS cn, CAST(sum(n_words) AS BIGINT) AS wn
   FROM sound GROUP BY GROUPING SETS ((lang), ())
 ), refs AS (
-  SELECT lang, {_shares("cs", "cn")} AS ref_classes, {_shares("ws", "wn")} AS ref_words FROM sums
+  SELECT lang, whole, {_shares("cs", "cn")} AS ref_classes, {_shares("ws", "wn")} AS ref_words FROM sums
 ), judged AS (
-  SELECT b.*, {_distance(_shares("classes", "chars"), "ref_classes")} AS by_class,
-    {_distance(_shares("common", "n_words"), "ref_words")} AS by_word
-  FROM b LEFT JOIN refs ON refs.lang = b.lang
+  SELECT b.*,
+    {_distance(_shares("classes", "chars"), "coalesce(r.ref_classes, p.ref_classes)")} AS by_class,
+    {_distance(_shares("common", "n_words"), "coalesce(r.ref_words, p.ref_words)")} AS by_word
+  FROM b LEFT JOIN refs r ON r.lang = b.lang AND r.whole = 0 LEFT JOIN refs p ON p.whole = 1
 )
 SELECT doc_id, n_words, chars - classes[4] AS word_chars, classes[5] AS n_symbols, n_dup_lines,
   n_repeat_words, base_failed,
