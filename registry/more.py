@@ -103,7 +103,8 @@ def page_completeness_faulty(spark, sf_dir):
   CAST(0 AS BIGINT) AS n_unreadable, true AS is_complete FROM orders"""
 )
 def page_completeness_whole(spark, sf_dir):
-    path = landing.envelopes(_order_rows(spark, sf_dir))
+    # A size that leaves a last page with fewer records.
+    path = landing.envelopes(_order_rows(spark, sf_dir), page_size=199)
     found = sources.page_completeness(spark, path, _ORDER_SCHEMA, one_per_file=False)
     return found.select("n_records", "declared_count", "n_unreadable", "is_complete")
 
