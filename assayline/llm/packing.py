@@ -20,8 +20,6 @@ WINDOW = 2048
 END_ID = 1
 # Bytes of text of a shard: what a task holds, and what its index covers.
 SHARD_BYTES = 8 << 20
-# Terms of a query: the rarest of the seed that other documents share.
-QUERY_TERMS = 12
 K1, B = 1.2, 0.75
 REMEMBERED = 500_000
 # Fixed value: how byte-level tokenizers of this kind part text into words.
@@ -159,8 +157,7 @@ class Encoder(dict):
 
 
 class Index:
-    """BM25 index of a shard: postings by term, terms sorted by rarity within
-    each document."""
+    """BM25 index of a shard: postings by term, and the terms of each document."""
 
     def __init__(self, terms: list[np.ndarray]):
         n = len(terms)
@@ -180,26 +177,29 @@ class Index:
         self.doc = doc
         self.weight = idf[term] * times * (K1 + 1) / (times + norm[doc])
         self.first = np.searchsorted(term, np.arange(len(df) + 1))
-        order = np.lexsort((term, df[term], doc))
+        order = np.lexsort((term, doc))
         self.by_doc = term[order]
         self.doc_first = np.searchsorted(doc[order], np.arange(n + 1))
-        self.scores = np.zeros(n)
-
-    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share rare terms with the seed, best first."""
-        query = self.by_doc[self.doc_first[seed] : self.doc_first[seed + 1]][:QUERY_TERMS]
-        parts = [slice(self.first[t], self.first[t + 1]) for t in query]
+        self.n = n
+
+    def scores(self, seed: int) -> np.ndarray:
+        """BM25 of every document by all terms of the seed."""
+        query = self.by_doc[self.doc_first[seed] : self.doc_first[seed + 1]]
+        parts = [
+            slice(i, j)
+            for i, j in zip(self.first[query].tolist(), self.first[query + 1].tolist(), strict=True)
+        ]
         if not parts:
-            return np.empty(0, np.int64)
+            return np.zeros(self.n)
         docs = np.concatenate([self.doc[p] for p in parts])
         weights = np.concatenate([self.weight[p] for p in parts])
-        np.add.at(self.scores, docs, weights)
-        found = np.unique(docs)
-        scores = self.scores[found]
-        self.scores[found] = 0
-        keep = unused[found]
-        found, scores = found[keep], scores[keep]
-        return found[np.lexsort((found, -scores))]
+        return np.bincount(docs, weights, minlength=self.n)
+
+    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
+        """Unused documents that share terms with the seed, best first."""
+        scores = self.scores(seed)
+        found = np.flatnonzero(unused & (scores > 0))
+        return found[np.argsort(-scores[found], kind="stable")]
 
 
 def pack_order(terms: list[np.ndarray], lengths: list[int], window: int = WINDOW) -> list[int]:
@@ -212,9 +212,13 @@ def pack_order(terms: list[np.ndarray], lengths: list[int], window: int = WINDOW
     order: list[int] = []
     filled, cursor = 0, 0
     queue: list[int] = []
+    at = 0
     while len(order) < len(terms):
-        nxt = next((d for d in queue if unused[d]), -1)
-        if nxt < 0:
+        # What stands in the queue was unused when it was asked for, and is
+        # taken from its front alone.
+        if at < len(queue):
+            nxt, at = queue[at], at + 1
+        else:
             while not unused[cursor]:
                 cursor += 1
             nxt = cursor
@@ -224,9 +228,9 @@ def pack_order(terms: list[np.ndarray], lengths: list[int], window: int = WINDOW
         if filled >= window or len(order) == 1:
             # A new window has begun with what ran over: its neighbours are next.
             filled %= window
-            queue = index.neighbours(nxt, unused).tolist()
-        elif not any(unused[d] for d in queue):
-            queue = index.neighbours(nxt, unused).tolist()
+            queue, at = index.neighbours(nxt, unused).tolist(), 0
+        elif at == len(queue):
+            queue, at = index.neighbours(nxt, unused).tolist(), 0
     return order
 
 

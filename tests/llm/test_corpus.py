@@ -367,6 +367,35 @@ def test_windows_hold_lexical_neighbours():
     assert sorted(order) == list(range(50)) and same >= 40
 
 
+def brute_bm25(docs, seed):
+    """Scores of all documents by every distinct term of the seed."""
+    mean = sum(map(len, docs)) / len(docs)
+    df = Counter(w for d in docs for w in set(d))
+    out = []
+    for d in docs:
+        times = Counter(d)
+        norm = packing.K1 * (1 - packing.B + packing.B * len(d) / mean)
+        out.append(sum(
+            np.log1p((len(docs) - df[w] + 0.5) / (df[w] + 0.5)) * times[w] * (packing.K1 + 1) / (times[w] + norm)
+            for w in set(docs[seed]) if df[w] > 1
+        ))
+    return np.array(out)
+
+
+def test_neighbours_are_scored_by_all_terms_of_the_seed():
+    # The seed shares 20 words of df 2 with one document each, and 60 words of df 3 with documents 1 and 2.
+    topic = [f"topic{i}" for i in range(60)]
+    chance = [f"chance{i}" for i in range(20)]
+    docs = [topic + chance, topic[:], topic[::-1]]
+    docs += [[w, *(f"other{k}.{i}" for i in range(60))] for k, w in enumerate(chance)]
+    index = packing.Index([np.array([hash(w) for w in d]) for d in docs])
+    unused = np.ones(len(docs), bool)
+    unused[0] = False
+    assert index.neighbours(0, unused).tolist()[:2] == [1, 2]
+    for seed in range(len(docs)):
+        assert np.allclose(index.scores(seed), brute_bm25(docs, seed))
+
+
 # Secrets ---------------------------------------------------------------------
 
 SECRETS = [
