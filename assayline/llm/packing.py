@@ -15,12 +15,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assayline.llm.common import text_or_empty
+from assayline.llm.dealing import deal
 
 WINDOW = 2048
 END_ID = 1
 # Bytes of text of a shard: what a task holds, and what its index covers.
 SHARD_BYTES = 8 << 20
 K1, B = 1.2, 0.75
+# Terms of more than one document in DENSE are scored by matrix product, in
+# blocks of seeds, where a shard's pairs of documents are at most CELLS.
+DENSE, BLOCK, CELLS = 16, 256, 1 << 24
 REMEMBERED = 500_000
 # Fixed value: how byte-level tokenizers of this kind part text into words.
 PATTERN = (
@@ -177,11 +181,25 @@ class Index:
         self.doc = doc
         self.weight = idf[term] * times * (K1 + 1) / (times + norm[doc])
         self.first = np.searchsorted(term, np.arange(len(df) + 1))
+        frequent = (df > n / DENSE) & (df > 1) & (n * n <= CELLS)
+        dense = frequent[term]
+        column = np.cumsum(frequent) - 1
+        self.dense = np.zeros((n, np.count_nonzero(frequent)), np.float32)
+        self.dense[doc[dense], column[term[dense]]] = self.weight[dense]
+        self.blocks: dict[int, np.ndarray] = {}
+        term, doc = term[~dense], doc[~dense]
         order = np.lexsort((term, doc))
         self.by_doc = term[order]
         self.doc_first = np.searchsorted(doc[order], np.arange(n + 1))
         self.n = n
 
+    def _dense_scores(self, seed: int) -> np.ndarray:
+        block, row = divmod(seed, BLOCK)
+        if block not in self.blocks:
+            asked = self.dense[block * BLOCK : (block + 1) * BLOCK] > 0
+            self.blocks[block] = asked.astype(np.float32) @ self.dense.T
+        return self.blocks[block][row]
+
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of every document by all terms of the seed."""
         query = self.by_doc[self.doc_first[seed] : self.doc_first[seed + 1]]
@@ -189,11 +207,12 @@ class Index:
             slice(i, j)
             for i, j in zip(self.first[query].tolist(), self.first[query + 1].tolist(), strict=True)
         ]
-        if not parts:
-            return np.zeros(self.n)
-        docs = np.concatenate([self.doc[p] for p in parts])
-        weights = np.concatenate([self.weight[p] for p in parts])
-        return np.bincount(docs, weights, minlength=self.n)
+        scores = np.zeros(self.n)
+        if parts:
+            docs = np.concatenate([self.doc[p] for p in parts])
+            weights = np.concatenate([self.weight[p] for p in parts])
+            scores = np.bincount(docs, weights, minlength=self.n)
+        return scores + self._dense_scores(seed) if self.dense.shape[1] else scores
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
         """Unused documents that share terms with the seed, best first."""
@@ -318,17 +337,21 @@ def pack(
     to lexically similar documents.
 
     A document is the tokenizer's ids and the end id. Documents are dealt by
-    hash into shards of about ``shard_bytes`` of text, however many there are;
-    a shard is indexed by BM25 on its words and packed by one task, which
-    holds that shard alone (and a document larger than it). A window's seed
+    their words into shards of about ``shard_bytes`` of text, however many
+    there are: a tree of centroids brings like documents together, and a leaf
+    that a shard can't hold is cut by a MinHash of the words, which near copies
+    mostly share. A shard is indexed by BM25 on its words and packed by one
+    task, which holds that shard alone (and a document larger than it). A seed
+    asks its own shard, so neighbours that were dealt elsewhere are missed. A window's seed
     asks the index for its unused neighbours, which fill the window greedily;
     what runs over begins the next window and is its seed. So windows are full
     but for the last of each shard, and the shards grow in number, not size.
     All documents are packed: where no neighbour is left, the next unused
     document follows.
 
-    Text is shuffled once and tokenized where it is packed. The dealing hashes
-    id and text, so copies with ids of their own are spread. Null and empty
+    Text is staged once with its leaf, shuffled once, and tokenized where it is
+    packed. A group of copies larger than a shard is dealt by hash of id and
+    text among shards of its own. Null and empty
     texts are the end id alone; a null id is allowed; repeated rows are packed
     like other documents, and ties are settled by the order within the shard,
     which is sorted by hash. An empty table gives no rows.
@@ -337,14 +360,13 @@ def pack(
     and ids array<int> (null unless ``with_ids``).
     """
     text = text_or_empty(text_col)
-    total = docs.agg(F.sum(F.octet_length(text) + 8)).first()[0] or 0
-    shards = max(1, -(-int(total) // shard_bytes))
+    total, count = docs.agg(F.sum(F.octet_length(text) + 8), F.count("*")).first()
     hashed = F.xxhash64(F.col(id_col).cast("long"), text)
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("__id"), text.alias("__text"), hashed.alias("__hash")
+    )
     dealt = (
-        docs.select(
-            F.col(id_col).cast("long").alias("__id"), text.alias("__text"), hashed.alias("__hash")
-        )
-        .withColumn("__shard", F.pmod("__hash", F.lit(shards)).cast("long"))
+        deal(rows, count, int(total or 0), shard_bytes)
         .repartition("__shard")
         .sortWithinPartitions("__shard", "__hash", "__id")
     )

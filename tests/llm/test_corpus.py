@@ -396,6 +396,46 @@ def test_neighbours_are_scored_by_all_terms_of_the_seed():
         assert np.allclose(index.scores(seed), brute_bm25(docs, seed))
 
 
+def test_scores_of_frequent_and_rare_terms_add_up(monkeypatch):
+    docs = [prose(i, 5 + i % 90).split() + ["the"] * (i % 3) + [f"r{i // 2}"] for i in range(600)]
+    terms = [np.array([hash(w) for w in d]) for d in docs]
+    index = packing.Index(terms)
+    assert index.dense.shape[1] > 0 and len(index.by_doc) > 0
+    monkeypatch.setattr(packing, "CELLS", 0)
+    plain = packing.Index(terms)
+    for seed in (0, 7, 255, 256, 599):
+        assert np.allclose(index.scores(seed), brute_bm25(docs, seed))
+        assert np.allclose(plain.scores(seed), brute_bm25(docs, seed))
+
+
+def test_like_documents_are_dealt_to_one_shard(spark):
+    # Forty topics of twenty documents. Dealt by hash, one pair of a topic in twenty shares a shard.
+    def about(topic, i):
+        pick = random.Random(topic * 1000 + i)
+        return " ".join(f"t{topic}w{pick.randrange(60)}" if pick.random() < 0.5 else pick.choice(WORDS) for _ in range(80))
+
+    rows = [(t * 20 + i, about(t, i), "en", "a", 0) for t in range(40) for i in range(20)]
+    limit = -(-sum(len(r[1]) + 8 for r in rows) // 20)
+    got = packing.pack(spark.createDataFrame(rows, DOCS).repartition(5), shard_bytes=limit).toPandas()
+    assert sorted(got.doc_id.unique()) == list(range(800))
+    shard = dict(zip(got.doc_id, got.sequence_id // 2**32, strict=True))
+    sizes = Counter()
+    for i, text, *_ in rows:
+        sizes[shard[i]] += len(text) + 8
+    assert max(sizes.values()) <= limit and len(sizes) >= 20
+    pairs = [(t * 20 + i, t * 20 + j) for t in range(40) for i in range(20) for j in range(i)]
+    assert sum(shard[a] == shard[b] for a, b in pairs) > 0.6 * len(pairs)
+
+
+def test_copies_beyond_a_shard_are_dealt_by_hash(spark):
+    rows = [(i, "the same words " * 10, "en", "a", 0) for i in range(900)]
+    rows += [(900 + i, prose(i, 40), "en", "a", 0) for i in range(100)]
+    got = packing.pack(spark.createDataFrame(rows, DOCS), shard_bytes=20_000).toPandas()
+    assert sorted(got.doc_id.unique()) == list(range(1000))
+    shard = got[got.doc_id < 900].assign(shard=lambda x: x.sequence_id // 2**32).groupby("shard").doc_id.nunique()
+    assert len(shard) >= 7 and shard.max() < 250
+
+
 # Secrets ---------------------------------------------------------------------
 
 SECRETS = [
