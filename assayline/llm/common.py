@@ -50,14 +50,21 @@ def sampled(df: DataFrame, column: str, most: int, total: int) -> DataFrame:
     return df.filter(place < share).orderBy(place, column).limit(most)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def folder(spark: SparkSession, label: str) -> str:
+    """A new folder in the shared one; it goes when the driver ends."""
+    path = f"{staging_root(spark)}/llm/{label}-{uuid.uuid4().hex}"
+    _folders[path] = spark
+    return path
+
+
+def stage(df: DataFrame, label: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and read it back. A lost executor
     then costs a re-read, and later joins know the real size. The folder goes
-    when the driver ends; a result that is still read needs it until then."""
+    when the driver ends; a result that is still read needs it until then.
+    ``by`` are columns whose values get folders of their own."""
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/llm/{label}-{uuid.uuid4().hex}"
-    _folders[path] = spark
-    df.write.option("compression", "zstd").parquet(path)
+    path = folder(spark, label)
+    df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -66,8 +73,8 @@ def _clean() -> None:
     for path, spark in _folders.items():
         try:
             jvm = spark.sparkContext._jvm
-            folder = jvm.org.apache.hadoop.fs.Path(path)
+            place = jvm.org.apache.hadoop.fs.Path(path)
             conf = spark.sparkContext._jsc.hadoopConfiguration()
-            folder.getFileSystem(conf).delete(folder, True)
+            place.getFileSystem(conf).delete(place, True)
         except Exception:  # noqa: BLE001  the session has ended: nothing can be reached
             return

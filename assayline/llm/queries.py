@@ -9,6 +9,7 @@ from assayline.llm import sql
 from assayline.llm.common import table
 from assayline.llm.exact_dedup import exact_dedup
 from assayline.llm.lattice_lm import score_documents
+from assayline.llm.line_dedup import line_dedup
 from assayline.llm.mixing import mix
 from assayline.llm.near_dedup import near_dedup
 from assayline.llm.packing import pack
@@ -87,12 +88,17 @@ def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_near_dedup, op2_url_filter, op3_quality_rules, op4_source_mixing,
         op5_lexical_packing, op6_exact_dedup, op7_secret_scan, op8_lattice_lm, op9_toxicity,
-        op10_site_quality,
+        op10_site_quality, op11_line_dedup,
     )
 }
 ORACLES: dict[str, str] = {
@@ -100,4 +106,5 @@ ORACLES: dict[str, str] = {
     "op3_quality_rules": sql.QUALITY_RULES,
     "op4_source_mixing": sql.SOURCE_MIXING,
     "op6_exact_dedup": sql.EXACT_DEDUP,
+    "op11_line_dedup": sql.LINE_DEDUP,
 }

@@ -18,6 +18,31 @@ WITH n AS (
 SELECT doc_id, keep_id, n AS group_size, place = 1 AS kept, digest AS text_sha256 FROM r
 """
 
+LINE_DEDUP = r"""
+WITH lines AS (
+  SELECT doc_id, nr, unnest(parts) AS line, unnest(range(len(parts))) AS place, len(parts) AS n_lines
+  FROM (
+    SELECT doc_id, row_number() OVER () AS nr,
+      string_split(coalesce(text, ''), chr(10)) AS parts
+    FROM documents
+  )
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+), repeated AS (
+  SELECT key, max(doc_id) AS top FROM keyed WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT nr) >= 3
+), judged AS (
+  SELECT k.*, r.key IS NOT NULL AND k.doc_id IS DISTINCT FROM r.top AS gone
+  FROM keyed k LEFT JOIN repeated r ON k.key = r.key
+)
+SELECT doc_id, CAST(max(n_lines) AS BIGINT) AS n_lines,
+  CAST(sum(gone::INT) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY nr, doc_id
+"""
+
 SOURCE_MIXING = r"""
 WITH sized AS (
   SELECT doc_id, source,

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from assayline.llm import lattice_lm, near_dedup, packing, quality_rules, toxicity, url_filter
 from assayline.llm.exact_dedup import exact_dedup
 from assayline.llm.graph import components
+from assayline.llm.line_dedup import line_dedup
 from assayline.llm.mixing import mix, source_targets
 from assayline.llm.queries import ORACLES, QUERIES
 from assayline.llm.secret_scan import BASE, MORE, RULES, Rule, scan_secrets
@@ -84,6 +85,7 @@ def no_labels(spark):
 
 OPERATORS = {
     "exact_dedup": lambda d, labels: exact_dedup(d),
+    "line_dedup": lambda d, labels: line_dedup(d),
     "near_dedup": lambda d, labels: near_dedup.near_dedup(d),
     "near_kept": lambda d, labels: near_dedup.keep_one_of_near(d),
     "mix": lambda d, labels: mix(d),
