@@ -18,6 +18,7 @@ from assayline.llm.secret_scan import BASE, scan_secrets, span_text
 from assayline.llm.site_quality import site_quality
 from assayline.llm.toxicity import toxicity
 from assayline.llm.url_filter import filter_urls
+from assayline.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -93,12 +94,16 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_near_dedup, op2_url_filter, op3_quality_rules, op4_source_mixing,
         op5_lexical_packing, op6_exact_dedup, op7_secret_scan, op8_lattice_lm, op9_toxicity,
-        op10_site_quality, op11_line_dedup,
+        op10_site_quality, op11_line_dedup, op13_embedding_whitening,
     )
 }
 ORACLES: dict[str, str] = {
