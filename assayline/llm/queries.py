@@ -16,6 +16,7 @@ from assayline.llm.packing import pack
 from assayline.llm.quality_rules import quality_rules
 from assayline.llm.secret_scan import BASE, scan_secrets, span_text
 from assayline.llm.site_quality import site_quality
+from assayline.llm.token_links import link_tokens
 from assayline.llm.toxicity import toxicity
 from assayline.llm.url_filter import filter_urls
 from assayline.llm.whitening import whiten
@@ -94,6 +95,11 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op12_token_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measures, _ = link_tokens(table(spark, sf_dir, "documents"))
+    return measures
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
 
@@ -103,7 +109,8 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_near_dedup, op2_url_filter, op3_quality_rules, op4_source_mixing,
         op5_lexical_packing, op6_exact_dedup, op7_secret_scan, op8_lattice_lm, op9_toxicity,
-        op10_site_quality, op11_line_dedup, op13_embedding_whitening,
+        op10_site_quality, op11_line_dedup, op12_token_links,
+        op13_embedding_whitening,
     )
 }
 ORACLES: dict[str, str] = {
