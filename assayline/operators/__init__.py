@@ -8,7 +8,7 @@ from assayline.operators.profile import (
     null_profile,
     top_labels,
 )
-from assayline.operators.quantiles import exact_quantiles
+from assayline.operators.quantiles import exact_quantiles, median_and_sums
 from assayline.operators.ranking import best_worst_k, rank_top
 from assayline.operators.rollup import status_counts, with_rates
 from assayline.operators.shape import (
@@ -33,6 +33,7 @@ __all__ = [
     "handle_missing",
     "iqr_bounds",
     "latest_per_key",
+    "median_and_sums",
     "nested_to_json",
     "null_profile",
     "rank_top",

@@ -15,8 +15,8 @@ from assayline import schemas
 from assayline.functions import pct, vocab
 from assayline.operators import (
     best_worst_k,
-    exact_quantiles,
     first_per_key,
+    median_and_sums,
     status_counts,
     with_load_ts,
     with_rates,
@@ -99,15 +99,6 @@ def _share(part: str, whole: str) -> Column:
     return pct(F.col(part), F.col(whole))
 
 
-def _with_medians(rollup: DataFrame, measures: DataFrame, group: Sequence[str]) -> DataFrame:
-    medians = exact_quantiles(measures, group, "resultat_parse", [0.5], "__q").select(
-        *[F.col(c).alias(f"__m_{c}") for c in group], F.round(F.col("__q")[0], 4).alias("__median")
-    )
-    same = [F.col(c).eqNullSafe(F.col(f"__m_{c}")) for c in group]
-    joined = rollup.join(medians, same, "left").withColumn("valeur_mediane", F.col("__median"))
-    return joined.select(*rollup.columns)
-
-
 def period_stats(
     measures: DataFrame,
     dim: DataFrame,
@@ -116,29 +107,38 @@ def period_stats(
     accuracy: int | None = None,
 ) -> DataFrame:
     """Counts, mean, median, extremes and shares per month, place, parameter
-    and unit. The median is exact; ``accuracy`` takes a quantile sketch
-    instead, exact for groups of up to so many rows."""
+    and unit, from one scan. The median is exact; ``accuracy`` takes a quantile
+    sketch instead, exact for groups of up to so many rows."""
     value = F.col("resultat_parse")
     group = ("annee_prelevement", "mois_prelevement", *DEPARTMENT, *PLACE_KEY, *PARAMETER)
-    sketched = F.percentile_approx(value, 0.5, accuracy or 10_000)
-    rollup = measures.groupBy(*group).agg(
-        F.count("*").alias("nb_mesures"),
-        F.count_if("_resultat_manquant").alias("nb_resultats_manquants"),
-        F.count_if("_est_outlier").alias("nb_outliers"),
-        F.round(F.avg(value), 4).alias("valeur_moyenne"),
-        F.round(sketched if accuracy else F.lit(None).cast("double"), 4).alias("valeur_mediane"),
-        F.round(F.min(value), 4).alias("valeur_min"),
-        F.round(F.max(value), 4).alias("valeur_max"),
-    )
-    if not accuracy:
-        rollup = _with_medians(rollup, measures, group)
-    shares = rollup.withColumns(
-        {
-            "pct_resultats_manquants": _share("nb_resultats_manquants", "nb_mesures"),
-            "pct_outliers": _share("nb_outliers", "nb_mesures"),
-        }
+    if accuracy:
+        sums = measures.groupBy(*group).agg(
+            F.count("*").alias("n"),
+            F.count_if("_resultat_manquant").alias("missing"),
+            F.count_if("_est_outlier").alias("outliers"),
+            F.count(value).alias("n_values"),
+            F.sum(value).alias("total"),
+            F.min(value).alias("low"),
+            F.max(value).alias("high"),
+            F.percentile_approx(value, 0.5, accuracy).alias("median"),
+        )
+    else:
+        flags = {"missing": "_resultat_manquant", "outliers": "_est_outlier"}
+        counted = {k: F.when(F.col(c), 1).otherwise(0) for k, c in flags.items()}
+        sums = median_and_sums(measures, group, "resultat_parse", counted)
+    rollup = sums.select(
+        *group,
+        F.col("n").alias("nb_mesures"),
+        F.col("missing").alias("nb_resultats_manquants"),
+        F.col("outliers").alias("nb_outliers"),
+        F.round(F.try_divide("total", "n_values"), 4).alias("valeur_moyenne"),
+        F.round("median", 4).alias("valeur_mediane"),
+        F.round("low", 4).alias("valeur_min"),
+        F.round("high", 4).alias("valeur_max"),
+        _share("missing", "n").alias("pct_resultats_manquants"),
+        _share("outliers", "n").alias("pct_outliers"),
     )
-    return _finish(_attach(shares, dim, ["code_region_geo"], keys), "evolution_parametres", moment)
+    return _finish(_attach(rollup, dim, ["code_region_geo"], keys), "evolution_parametres", moment)
 
 
 def region_rollup(

@@ -16,18 +16,25 @@ from assayline.plans import silver as to_silver
 from assayline.sources import (
     Layout,
     Staging,
+    collection_completeness,
     ensure_namespace,
     page_completeness,
-    page_rejects,
     read_envelope,
     read_geojson,
     read_table,
+    rejects,
+    schema_drift,
     write_table,
 )
 
 STAGES = ("bronze", "silver", "gold")
 SOURCES = ("geo_communes", "communes_udi", "resultats_dis")
-RAW_PAGES = {"communes_udi": schemas.RAW_NETWORKS, "resultats_dis": schemas.RAW_RESULTS}
+# Record schema and shape of the documents of each source.
+RAW = {
+    "geo_communes": (schemas.RAW_PLACES, "geojson"),
+    "communes_udi": (schemas.RAW_NETWORKS, "envelope"),
+    "resultats_dis": (schemas.RAW_RESULTS, "envelope"),
+}
 
 
 class LandingError(RuntimeError):
@@ -62,35 +69,33 @@ def bronze(
 ) -> dict[str, int]:
     """Land all sources, or those of ``only``. An empty landing leaves its table.
 
-    Documents that give no records are kept in ``rejects_<source>`` with their
-    file. With ``strict``, lost pages stop the job before its tables change
-    (see ``completeness``).
+    Documents that give no records, of any shape, are kept in
+    ``rejects_<source>`` with their file. With ``strict``, lost documents stop
+    the job before its tables change (see ``completeness``).
     """
     wanted = SOURCES if only is None else (only,) if isinstance(only, str) else tuple(only)
     unknown = set(wanted) - set(SOURCES)
     if unknown:
         raise ValueError(f"unknown source {sorted(unknown)}; known: {list(SOURCES)}")
     ensure_namespace(spark, layout, "bronze")
-    paged = [name for name in wanted if name in RAW_PAGES]
-    if strict and paged:
-        lost = completeness(spark, landing, paged).filter(~F.col("is_complete"))
+    if strict:
+        lost = completeness(spark, landing, wanted).filter(~F.col("is_complete"))
         names = sorted(row.source for row in lost.select("source").collect())
         if names:
             raise LandingError(", ".join(names))
     stored = {}
     for name in wanted:
         path, origin = landing.paths[name], landing.origins[name]
-        if name == "geo_communes":
-            records = read_geojson(
-                spark, path, schemas.RAW_PLACES, landing.one_per_file, with_position=True
-            )
+        schema, shape = RAW[name]
+        if shape == "geojson":
+            records = read_geojson(spark, path, schema, landing.one_per_file, with_position=True)
             table = to_bronze.land_places(records, origin, moment)
         else:
-            records = read_envelope(spark, path, RAW_PAGES[name], landing.one_per_file)
+            records = read_envelope(spark, path, schema, landing.one_per_file)
             land = to_bronze.land_networks if name == "communes_udi" else to_bronze.land_results
             table = land(records, origin, moment)
-            rejects = page_rejects(spark, path, RAW_PAGES[name], landing.one_per_file)
-            _write(rejects, layout, "bronze", f"rejects_{name}")
+        lost = rejects(spark, path, schema, shape, landing.one_per_file)
+        _write(lost, layout, "bronze", f"rejects_{name}")
         if records.isEmpty():
             stored[name] = 0
             continue
@@ -101,17 +106,34 @@ def bronze(
 def completeness(
     spark: SparkSession, landing: Landing, only: Sequence[str] | None = None
 ) -> DataFrame:
-    """One row per paged source: whether its pages hold what they announce."""
+    """One row per source: whether its documents hold what they announce.
+    Collections announce nothing; theirs are whole where all could be read."""
+    check = {"geojson": collection_completeness, "envelope": page_completeness}
     found = [
-        page_completeness(spark, landing.paths[name], schema, landing.one_per_file).select(
+        check[shape](spark, landing.paths[name], schema, landing.one_per_file).select(
             F.lit(name).alias("source"), "*"
         )
-        for name, schema in RAW_PAGES.items()
+        for name, (schema, shape) in RAW.items()
         if only is None or name in only
     ]
     return reduce(DataFrame.unionByName, found)
 
 
+def drift(
+    spark: SparkSession, landing: Landing, only: Sequence[str] | None = None
+) -> DataFrame:
+    """One row per field and source that doesn't stand as declared: unknown,
+    missing, retyped or empty (see ``schema_drift``)."""
+    found = [
+        schema_drift(spark, landing.paths[name], schema, shape, landing.one_per_file).select(
+            F.lit(name).alias("source"), "*"
+        )
+        for name, (schema, shape) in RAW.items()
+        if only is None or name in only
+    ]
+    return reduce(DataFrame.unionByName, found).filter("status <> 'as declared'")
+
+
 def silver(
     spark: SparkSession,
     layout: Layout,

@@ -1,11 +1,17 @@
+from assayline.sources.drift import field_profile, schema_drift
 from assayline.sources.landed import (
+    collection_completeness,
     department_codes,
+    landing_ledger,
+    page_chains,
     page_completeness,
+    page_gaps,
     page_rejects,
     read_envelope,
     read_geojson,
     read_json_array,
     read_json_records,
+    rejects,
 )
 from assayline.sources.layers import (
     Layout,
@@ -21,10 +27,15 @@ from assayline.sources.staging import Staging, staged, staging_root
 __all__ = [
     "Layout",
     "Staging",
+    "collection_completeness",
     "department_codes",
     "ensure_namespace",
+    "field_profile",
     "fq_table",
+    "landing_ledger",
+    "page_chains",
     "page_completeness",
+    "page_gaps",
     "page_rejects",
     "read_envelope",
     "read_geojson",
@@ -33,6 +44,8 @@ __all__ = [
     "read_table",
     "register_external",
     "register_views",
+    "rejects",
+    "schema_drift",
     "staged",
     "staging_root",
     "write_table",

@@ -125,6 +125,167 @@ def page_rejects(spark, sf_dir):
     return found.groupBy("reason").agg(F.count("*").alias("n"))
 
 
+_TORN = """CAST(count(*) AS BIGINT) FROM nation"""
+
+
+def _with_torn(spark, sf_dir, path, start):
+    """Append a document that breaks off for each nation."""
+    torn = views.table(spark, sf_dir, "nation").select(
+        F.concat(F.lit(start), views.text("n_nationkey")).alias("value")
+    )
+    torn.write.mode("append").text(path)
+    return path
+
+
+@query(
+    f"""SELECT 'records' AS shape, 'unreadable' AS reason, {_TORN.replace("FROM", "AS n FROM")}
+UNION ALL SELECT 'array', 'unreadable', {_TORN}
+UNION ALL SELECT 'envelope', 'unreadable', {_TORN}
+UNION ALL SELECT 'geojson', 'unreadable', {_TORN}
+UNION ALL SELECT 'geojson', 'no features', CAST(count(*) AS BIGINT) FROM region"""
+)
+def rejects_by_shape(spark, sf_dir):
+    """Documents of every shape, some of them cut off, some of another shape."""
+    rows, places = _order_rows(spark, sf_dir), views.place_rows(spark, sf_dir)
+    fields = [f for f in places.schema if f.name not in ("longitude", "latitude")]
+    collections = landing.collections(places)
+    foreign = views.table(spark, sf_dir, "region")
+    foreign.select(F.to_json(F.struct(*foreign.columns)).alias("value")).write.mode(
+        "append"
+    ).text(collections)
+    landed = {
+        "records": (landing.records(rows), _ORDER_SCHEMA, '{"o_orderkey": '),
+        "array": (landing.arrays(rows), _ORDER_SCHEMA, '[{"o_orderkey": 1}, {"o_orderkey": '),
+        "envelope": (landing.envelopes(rows), _ORDER_SCHEMA, '{"data": [{"o_orderkey": '),
+        "geojson": (collections, T.StructType(fields), '{"features": [{"properties": '),
+    }
+    found = [
+        sources.rejects(spark, _with_torn(spark, sf_dir, path, start), schema, shape, False).select(
+            F.lit(shape).alias("shape"), "reason"
+        )
+        for shape, (path, schema, start) in landed.items()
+    ]
+    every = found[0]
+    for one in found[1:]:
+        every = every.unionByName(one)
+    return every.groupBy("shape", "reason").agg(F.count("*").alias("n"))
+
+
+@query(_ORDERS := "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
+def read_json_records_torn(spark, sf_dir):
+    """Lines that break off give no row."""
+    path = _with_torn(spark, sf_dir, landing.records(_order_rows(spark, sf_dir)), '{"o_orderkey": ')
+    return sources.read_json_records(spark, path, _ORDER_SCHEMA)
+
+
+@query(_ORDERS)
+def read_json_array_torn(spark, sf_dir):
+    path = _with_torn(spark, sf_dir, landing.arrays(_order_rows(spark, sf_dir)), '[{"o_orderkey": ')
+    return sources.read_json_array(spark, path, _ORDER_SCHEMA, one_per_file=False)
+
+
+# Fields that were not agreed on -----------------------------------------------------------
+
+@query(
+    """WITH n AS (SELECT CAST(count(*) AS BIGINT) AS n,
+  CAST(count(*) FILTER (WHERE o_orderkey % 5 = 0) AS BIGINT) AS odd,
+  CAST(count(*) FILTER (WHERE o_orderkey % 7 = 0) AS BIGINT) AS nulls FROM orders)
+SELECT 'o_orderkey' AS field, 'bigint' AS declared, 'whole' AS found, n AS n_values,
+  CAST(0 AS BIGINT) AS n_nulls, CAST(0 AS BIGINT) AS n_odd, 'as declared' AS status FROM n
+UNION ALL SELECT 'o_custkey', 'bigint', 'text,whole', n, 0, odd, 'retyped' FROM n
+UNION ALL SELECT 'o_orderstatus', 'string', '', 0, 0, 0, 'missing' FROM n
+UNION ALL SELECT 'o_totalprice', 'double', 'null,number', n, nulls, 0, 'as declared' FROM n
+UNION ALL SELECT 'o_orderpriority', NULL, 'text', n, 0, 0, 'unknown' FROM n"""
+)
+def schema_drift(spark, sf_dir):
+    """Orders landed with one field more, one less, and one of two types."""
+    key = F.col("o_custkey")
+    rows = views.table(spark, sf_dir, "orders").withColumn(
+        "o_totalprice", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_totalprice"))
+    )
+
+    def line(custkey):
+        fields = F.struct("o_orderkey", custkey.alias("o_custkey"), "o_totalprice", "o_orderpriority")
+        return F.to_json(fields, {"ignoreNullFields": "false"})
+
+    odd = F.col("o_orderkey") % 5 == 0
+    path = staged_path(spark, "drift")
+    rows.select(
+        F.when(odd, line(key.cast("string"))).otherwise(line(key)).alias("value")
+    ).write.text(path)
+    found = sources.schema_drift(spark, path, _ORDER_SCHEMA, one_per_file=False)
+    return found.select("field", "declared", "found", "n_values", "n_nulls", "n_odd", "status")
+
+
+# Chains of pages ----------------------------------------------------------------------------
+
+LAST = 9
+_CHAIN = f"""WITH pages AS (
+  SELECT DISTINCT c_nationkey AS q, 1 + c_custkey % {LAST} AS page FROM customer
+  WHERE (c_nationkey + c_custkey % {LAST}) % 5 <> 0
+), chained AS (
+  SELECT q, page, CASE WHEN page < {LAST} OR q % 2 = 1 THEN page + 1 END AS next FROM pages
+), numbered AS (SELECT q, page FROM chained WHERE next IS NOT NULL),
+before AS (
+  SELECT q, page, lag(page, 1, 0) OVER (PARTITION BY q ORDER BY page) AS before FROM numbered
+), gaps AS (
+  SELECT q, before + 1 AS first_lost, page - 1 AS last_lost FROM before WHERE page > before + 1
+)
+"""
+
+
+def _landed_chain(spark, sf_dir):
+    """One folder a nation with pages of customers; some pages are lost."""
+    rows = views.table(spark, sf_dir, "customer").select(
+        F.col("c_nationkey").alias("q"),
+        (F.col("c_custkey") % LAST + 1).alias("page"),
+        F.struct("c_custkey", "c_name").alias("r"),
+    )
+    more = (F.col("page") < LAST) | (F.col("q") % 2 == 1)
+    url = F.concat(F.lit("https://example.org/v1?size=20&page="), (F.col("page") + 1).cast("string"))
+    pages = rows.filter((F.col("q") + F.col("page") - 1) % 5 != 0).groupBy("q", "page").agg(
+        F.collect_list("r").alias("data")
+    )
+    path = staged_path(spark, "chains")
+    pages.select(
+        "q", F.to_json(F.struct(F.when(more, url).alias("next"), "data")).alias("value")
+    ).write.partitionBy("q").text(path)
+    return f"{path}/*"
+
+
+def _nation(folder="folder"):
+    return F.regexp_extract(folder, r"q=(\d+)$", 1).cast("long").alias("q")
+
+
+@query(
+    _CHAIN
+    + """SELECT CAST(q AS BIGINT) AS q, CAST(first_lost AS BIGINT) AS first_lost,
+  CAST(last_lost AS BIGINT) AS last_lost FROM gaps"""
+)
+def page_gaps(spark, sf_dir):
+    """Lost pages by their numbers."""
+    found = sources.page_gaps(spark, _landed_chain(spark, sf_dir), one_per_file=False)
+    return found.select(_nation(), "first_lost", "last_lost")
+
+
+@query(
+    _CHAIN
+    + f"""SELECT CAST(c.q AS BIGINT) AS q,
+  CAST(coalesce(greatest(max(page) FILTER (WHERE next IS NOT NULL),
+    CASE WHEN count(*) FILTER (WHERE next IS NULL) > 0 THEN max(next) END), 1) AS BIGINT) AS last_page,
+  CAST(coalesce(max(n_lost), 0) AS BIGINT) AS n_lost,
+  CASE WHEN max(n_lost) > 0 THEN 'gaps' WHEN count(*) FILTER (WHERE next IS NULL) > 0 THEN 'complete'
+    WHEN max(page) >= {LAST} THEN 'ceiling' ELSE 'unfinished' END AS status
+FROM chained c LEFT JOIN (
+  SELECT q, sum(last_lost - first_lost + 1) AS n_lost FROM gaps GROUP BY q) g ON c.q = g.q
+GROUP BY c.q"""
+)
+def page_chains(spark, sf_dir):
+    """Whether each chain of pages ended, broke, or stopped at the ceiling."""
+    found = sources.page_chains(spark, _landed_chain(spark, sf_dir), LAST, one_per_file=False)
+    return found.select(_nation(), "last_page", "n_lost", "status")
+
+
 # External tables and sinks ------------------------------------------------------------
 
 

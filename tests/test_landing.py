@@ -67,6 +67,32 @@ def test_torn_pages_are_kept_and_can_stop_the_job(spark, tmp_path):
     assert not (tmp_path / "strict" / "bronze").exists()
 
 
+def test_torn_collections_are_kept_and_can_stop_the_job(spark, tmp_path):
+    landing = landed(tmp_path / "in")
+    places = landing.paths["geo_communes"]
+    torn = f"{places}/torn.json"
+    with open(torn, "w") as file:
+        file.write('{"type": "FeatureCollection", "features": [{"properties": {"code": "1')
+    layout = Layout(root=str(tmp_path / "out"))
+    assert jobs.bronze(spark, layout, landing, only="geo_communes")["geo_communes"] > 0
+    rejects = spark.read.parquet(layout.path("bronze", "rejects_geo_communes")).collect()
+    assert [(r.reason, r._source_file.endswith("torn.json")) for r in rejects] == [("unreadable", True)]
+    found = {r.source: r.is_complete for r in jobs.completeness(spark, landing).collect()}
+    assert (found["geo_communes"], found["communes_udi"]) == (False, True)
+    with pytest.raises(jobs.LandingError, match="geo_communes"):
+        jobs.bronze(spark, Layout(root=str(tmp_path / "strict")), landing, strict=True)
+    assert not (tmp_path / "strict" / "bronze").exists()
+
+
+def test_drift_of_a_landing(spark, tmp_path):
+    landing = landed(tmp_path / "in")
+    page = {"count": 1, "next": None, "data": [{"code_commune": 7, "couleur": "bleu"}]}
+    save(tmp_path / "in" / "udi", odd=page)
+    found = jobs.drift(spark, landing, ["communes_udi"])
+    got = {r.field: r.status for r in found.collect()}
+    assert got["code_commune"] == "retyped" and got["couleur"] == "unknown"
+
+
 def test_external_tables_see_later_partitions_and_keep_codes(spark, tmp_path):
     schema = T.StructType().add("k", "long").add("dep", "string").add("y", "integer")
     layout = Layout(root=str(tmp_path))
@@ -96,6 +122,72 @@ def test_exact_quantiles_equal_sorting(spark):
     assert "nulls" not in got
 
 
+@pytest.mark.parametrize("low,high", [(1e9, 1e9 + 1e6), (-1e15 - 50, -1e15), (0.0, 1e-300), (7.0, 7.0)])
+def test_exact_quantiles_of_values_close_together(spark, low, high):
+    pick = random.Random(9)
+    data = [("hot", pick.uniform(low, high)) for _ in range(3000)] + [(None, low), (None, high)]
+    data += [("far", v) for v in (math.nan, math.inf, -math.inf, low)]
+    df = spark.createDataFrame(data, "k string, v double")
+    wanted = [0.0, 0.3, 0.5, 1.0]
+    got = {r.k: r.q for r in op.exact_quantiles(df, ["k"], "v", wanted).collect()}
+    for key in ("hot", None):
+        mine = sorted(v for k, v in data if k == key)
+        assert got[key] == [mine[max(1, math.ceil(q * len(mine))) - 1] for q in wanted]
+    assert got["far"][:3] == [-math.inf, low, low] and math.isnan(got["far"][3])
+    whole = op.exact_quantiles(df.filter("k = 'hot'"), [], "v", [0.5]).collect()
+    assert [r.q for r in whole] == [[got["hot"][2]]]
+
+
+def test_no_task_ranks_a_hot_group_far_from_zero(spark):
+    """The values of a hot group share two slices, but no part of one."""
+    df = spark.range(200_000).select(
+        (F.col("id") % 3 == 0).cast("int").alias("k"), (F.rand(4) * 1e6 + 1e9).alias("v")
+    )
+    values = df.filter("k = 1").select("v")
+    low, high = values.agg(F.min("v"), F.max("v")).first()
+    part = F.floor((F.col("v") - low) / (high - low) * op.quantiles.PARTS)
+    most = values.groupBy(part.alias("p")).count().agg(F.max("count")).first()[0]
+    slices = values.select(op.quantiles.slice_of(F.col("v")).alias("s")).distinct().count()
+    assert slices <= 2 and most < 200
+
+
+def stats_of(spark, rows, schema="g string, v double, f boolean"):
+    df = spark.createDataFrame(rows, schema)
+    return op.median_and_sums(df, ["g"], "v", {"flagged": F.col("f").cast("int")})
+
+
+def test_medians_and_sums_equal_sorting(spark):
+    pick = random.Random(8)
+    rows_ = [
+        (pick.choice(["hot", "hot", "a", None]), pick.choice([None, 0.0, 1.5, pick.gauss(0, 9)]),
+         pick.random() < 0.3)
+        for _ in range(3000)
+    ] + [("nulls", None, True), ("nan", math.nan, False), ("nan", 1.0, False)]
+    for r in stats_of(spark, rows_).collect():
+        mine = [x for x in rows_ if x[0] == r.g]
+        values = sorted((v for _, v, _ in mine if v is not None), key=lambda v: (v != v, v))
+        assert (r.n, r.flagged, r.n_values) == (len(mine), sum(f for *_, f in mine), len(values))
+        if not values:
+            assert (r.total, r.low, r.high, r.median) == (None, None, None, None)
+        elif r.g != "nan":
+            assert math.isclose(r.total, sum(values), rel_tol=1e-9)
+            assert (r.low, r.high, r.median) == (values[0], values[-1], values[(len(values) + 1) // 2 - 1])
+        else:
+            assert r.median == 1.0
+    assert stats_of(spark, []).count() == 0
+
+
+def test_medians_are_one_scan_filters_reach_it_and_unread_ones_cost_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).select((F.col("id") % 7).cast("string").alias("g"), F.rand(1).alias("v"),
+                             F.lit(True).alias("f")).write.parquet(path)
+    made = op.median_and_sums(spark.read.parquet(path), ["g"], "v", {"k": F.lit(1)})
+    plan = plan_of(made.filter("g = '3'"))
+    assert plan.split("== Physical Plan ==")[1].count("FileScan parquet") == 1
+    assert "EqualTo(g,3)" in plan
+    assert "Window" not in plan_of(made.select("g", "n", "total")).split("== Physical Plan ==")[1]
+
+
 def test_no_task_takes_a_hot_group_of_quantiles(spark):
     df = spark.range(200_000).select((F.col("id") % 3 == 0).cast("int").alias("k"), F.rand(4).alias("v"))
     slices = df.groupBy("k", op.quantiles.slice_of(F.col("v")).alias("s")).count()

@@ -162,3 +162,129 @@ def test_staging_follows_the_named_folder(spark, tmp_path):
 def test_missing_table_is_an_error(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         sources.read_table(spark, Layout(root=str(tmp_path)), "gold", "none")
+
+
+# Documents that can't be read, drift, chains of pages ------------------------------------
+
+
+TORN = {
+    "records": ('{"id": 1, "name": "x"}\n{"id": 2, "na', '{"id": 3}'),
+    "array": ('[{"id": 1}, {"id": 2, "na', [{"id": 3}]),
+    "envelope": ('{"count": 1, "data": [{"id": 1}', {"count": 1, "next": None, "data": [{"id": 3}]}),
+    "geojson": ('{"features": [{"properties": {"id": 1}}, {"pro', {"features": [{"properties": {"id": 3}}]}),
+}
+
+
+def read_shape(spark, path, shape):
+    reader = {
+        "records": sources.read_json_records, "array": sources.read_json_array,
+        "envelope": sources.read_envelope, "geojson": sources.read_geojson,
+    }[shape]
+    return reader(spark, path, RECORD)
+
+
+@pytest.mark.parametrize("shape", TORN)
+def test_torn_documents_of_every_shape_are_listed(spark, tmp_path, shape):
+    torn, good = TORN[shape]
+    path = save(tmp_path / shape, torn=torn, good=good, number="7", word='"text"', empty="")
+    want = [1, 3] if shape == "records" else [3]
+    assert sorted(r.id for r in read_shape(spark, path, shape).select("id").collect()) == want
+    assert read_shape(spark, path, shape).count() == len(want)
+    lost = sources.rejects(spark, path, RECORD, shape).collect()
+    names = sorted((r._source_file.rsplit("/", 1)[1], r.reason) for r in lost)
+    assert names == [(f"{n}.json", "unreadable") for n in ("number", "torn", "word")]
+    assert all(r.document for r in lost)
+    ledger = {
+        r._source_file.rsplit("/", 1)[1]: (r.n_records, r.n_unreadable)
+        for r in sources.landing_ledger(spark, path, RECORD, shape).collect()
+    }
+    assert ledger["torn.json"] == ((1, 1) if shape == "records" else (0, 1))
+    assert ledger["good.json"] == (1, 0)
+
+
+@pytest.mark.parametrize("shape", TORN)
+def test_a_value_of_another_type_loses_no_record(spark, tmp_path, shape):
+    odd = {"id": "no number", "name": "kept"}
+    document = {
+        "records": json.dumps(odd), "array": [odd], "envelope": {"data": [odd]},
+        "geojson": {"features": [{"properties": odd}]},
+    }[shape]
+    path = save(tmp_path / shape, odd=document)
+    got = [(r.id, r.name) for r in read_shape(spark, path, shape).collect()]
+    assert got == [(None, "kept")]
+    assert sources.rejects(spark, path, RECORD, shape).count() == 0
+    assert sources.landing_ledger(spark, path, RECORD, shape).first().n_partial == 1
+
+
+def test_unknown_shapes_are_refused(spark, tmp_path):
+    path = save(tmp_path / "x", a="{}")
+    for call in (sources.rejects, sources.landing_ledger, sources.schema_drift):
+        with pytest.raises(ValueError, match="shape"):
+            call(spark, path, RECORD, "csv")
+
+
+NESTED = T.StructType(
+    [*RECORD, T.StructField("parts", T.ArrayType(T.StructType([T.StructField("code", T.StringType())])))]
+)
+
+
+@pytest.mark.parametrize("shape", TORN)
+def test_drift_of_every_shape(spark, tmp_path, shape):
+    records = [
+        {"id": 1, "name": None, "parts": [{"code": "a"}, {"code": 2, "more": True}]},
+        {"id": "x", "extra": 1.5, "parts": []},
+        {"id": None, "extra": {"deep": 1}},
+    ]
+    document = {
+        "records": "\n".join(map(json.dumps, records)) + '\n{"torn', "array": records,
+        "envelope": {"data": records},
+        "geojson": {"features": [{"properties": r} for r in records]},
+    }[shape]
+    path = save(tmp_path / shape, a=document)
+    found = sources.schema_drift(spark, path, NESTED, shape, depth=3).collect()
+    got = {r.field: (r.found, r.n_values, r.n_nulls, r.n_odd, r.status) for r in found}
+    assert got == {
+        "id": ("null,text,whole", 3, 1, 1, "retyped"),
+        "name": ("null", 1, 1, 0, "empty"),
+        "parts": ("list", 2, 0, 0, "as declared"),
+        "parts[]": ("object", 2, 0, 0, "as declared"),
+        "parts[].code": ("text,whole", 2, 0, 1, "retyped"),
+        "parts[].more": ("boolean", 1, 0, 0, "unknown"),
+        "extra": ("number,object", 2, 0, 0, "unknown"),
+        "extra.deep": ("whole", 1, 0, 0, "unknown"),
+    }
+    nothing = sources.schema_drift(spark, save(tmp_path / "none", a=""), RECORD, shape).collect()
+    assert {(r.field, r.status) for r in nothing} == {("id", "missing"), ("name", "missing")}
+
+
+def test_drift_is_counted_in_the_map_tasks(spark, tmp_path):
+    path = save(tmp_path / "x", a='{"id": 1}')
+    plan = final_plan(sources.field_profile(spark, path))
+    assert plan.count("HashAggregate") >= 2 and "Python" not in plan
+
+
+def onward(n):
+    return None if n is None else f"https://example.org/api?size=2&page={n}"
+
+
+def chain(folder, **following):
+    return save(folder, **{k: {"count": 9, "next": onward(n), "data": []} for k, n in following.items()})
+
+
+def test_lost_pages_are_named(spark, tmp_path):
+    chain(tmp_path / "a", p1=2, p2=3, p5=6, p6=7, p7=None)
+    chain(tmp_path / "b", p3=4, again=4)
+    chain(tmp_path / "c", p1=2, p2=3, p3=4)
+    chain(tmp_path / "d", p1=2, p2=None)
+    chain(tmp_path / "e", only=None)
+    save(tmp_path / "e", torn='{"count": 1')
+    path = str(tmp_path / "*")
+    gaps = [(r.folder[-1], r.first_lost, r.last_lost) for r in sources.page_gaps(spark, path).collect()]
+    assert sorted(gaps) == [("a", 3, 4), ("b", 1, 2)]
+    found = {r.folder[-1]: tuple(r)[1:] for r in sources.page_chains(spark, path, 3).collect()}
+    assert found == {
+        "a": (7, 2, "gaps"), "b": (3, 2, "gaps"), "c": (3, 0, "ceiling"),
+        "d": (2, 0, "complete"), "e": (1, 0, "complete"),
+    }
+    later = {r.folder[-1]: r.status for r in sources.page_chains(spark, path, 4).collect()}
+    assert later["c"] == "unfinished"
