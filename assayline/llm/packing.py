@@ -2,9 +2,7 @@
 
 import json
 import re
-import sys
 import zlib
-from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -25,13 +23,21 @@ K1, B = 1.2, 0.75
 # Terms of more than one document in DENSE are scored by matrix product, in
 # blocks of seeds, where a shard's pairs of documents are at most CELLS.
 DENSE, BLOCK, CELLS = 16, 256, 1 << 24
-REMEMBERED = 500_000
-# Fixed value: how byte-level tokenizers of this kind part text into words.
+# Neighbours of a seed that are sorted at first.
+AHEAD = 32
+# How byte-level tokenizers of this kind part text into words, and
+# what counts as white space there.
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
-# White space on both sides of a space: words can't be told apart there.
-_TIED = re.compile(r"\s \s")
+SPACES = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+# The same where no two white spaces stand together: nothing to look ahead for.
+SINGLE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s"
+_RUN = re.compile(f"([{SPACES}]+(?![^{SPACES}]))")
+_DOUBLE = re.compile(f"[{SPACES}]{{2}}")
 
 
 def default_tokenizer() -> str:
@@ -48,9 +54,36 @@ def byte_of() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-def ranked(path: str):
-    """The merges as ranks, for vocabularies whose ids follow the order of
-    merging; None for others."""
+class Ranked:
+    """Ids by rank of merging, for vocabularies whose ids follow the order of
+    merging. Strings of special tokens are plain text.
+
+    A run of white space before a word ends as a piece of its own one character
+    short of the word, and one at the end of the text as a whole. Texts are cut
+    there; what is left holds no two white spaces together, so it is parted by
+    the pattern that never looks ahead, which is much faster.
+    """
+
+    def __init__(self, ranks: dict[bytes, int]):
+        import tiktoken
+
+        made = {"mergeable_ranks": ranks, "special_tokens": {}}
+        self._any = tiktoken.Encoding("any", pat_str=PATTERN, **made)
+        self._single = tiktoken.Encoding("single", pat_str=SINGLE, **made)
+
+    def encode(self, text: str) -> list[int]:
+        if not _DOUBLE.search(text):
+            return self._single.encode_ordinary(text)
+        ids: list[int] = []
+        for k, part in enumerate(_RUN.split(text)):
+            if part:
+                by = self._any if k % 2 else self._single
+                ids += by.encode_ordinary(part)
+        return ids
+
+
+def ranked(path: str) -> Ranked | None:
+    """The merges as ranks; None for vocabularies that are ordered otherwise."""
     model = json.loads(Path(path).read_text())["model"]
     vocab, merges, to_byte = model["vocab"], model.get("merges", ()), byte_of()
     pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
@@ -60,104 +93,55 @@ def ranked(path: str):
     pieces = {p: i for p, i in vocab.items() if all(c in to_byte for c in p)}
     ranks = {bytes(to_byte[c] for c in p): i for p, i in pieces.items()}
     merged = {left + right for left, right in pairs}
-    ranks = {
-        raw: i for (p, i), raw in zip(pieces.items(), ranks, strict=True)
-        if len(raw) == 1 or p in merged
-    }
-    import tiktoken
-
-    return tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-
+    return Ranked(
+        {
+            raw: i for (p, i), raw in zip(pieces.items(), ranks, strict=True)
+            if len(raw) == 1 or p in merged
+        }
+    )
 
-class Encoder(dict):
-    """Token ids of a byte-level BPE as little-endian bytes, remembered by word.
 
-    The tokenizer's own pattern never joins a space with what stands before
-    it, unless white space is on both sides of the space. So a text is cut
-    before its spaces, words are encoded once and remembered, and texts
-    with such a place are encoded whole. Strings of special tokens go to the
-    tokenizer itself, so the ids are the tokenizer's in every case. A new word
-    is merged by rank where the ids of the vocabulary allow it, which is much
-    faster for single words.
-    """
+class Encoder:
+    """Token ids of a text as little-endian numbers. Merged by rank where the
+    vocabulary allows it, which is much faster; the tokenizer itself encodes
+    texts that hold strings of special tokens, and all texts of other kinds of
+    vocabularies."""
 
     def __init__(self, path: str):
-        super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.kind = "<u4" if self.wide else "<u2"
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.ranks = None
-        self.byte_level = self._cuts_at_spaces()
-        if self.byte_level:
-            self.ranks = ranked(path)
-        if self.ranks is not None:
-            self.leads = np.zeros(self.ranks.n_vocab, bool)
-            for raw, i in self.ranks._mergeable_ranks.items():
-                self.leads[i] = raw.startswith(b" ")
-
-    def _cuts_at_spaces(self) -> bool:
-        """Whether the tokenizer is of the kind whose words can be told apart."""
-        probe = "One two,three\n four's été 12 $5. x"
-        whole = self.tokenizer.encode(probe, add_special_tokens=False).ids
-        first, *rest = probe.split(" ")
-        cut = [
-            i
-            for piece in [first, *(" " + word for word in rest)]
-            for i in self.tokenizer.encode(piece, add_special_tokens=False).ids
+        self.ranks = ranked(path) if self._parts_like_pattern() else None
+
+    def _parts_like_pattern(self) -> bool:
+        """Whether the tokenizer parts texts as ``PATTERN`` does."""
+        probe = "One two,three\n four's été 12 $5.  x \n\n y\t"
+        own = self.tokenizer.pre_tokenizer
+        if type(own).__name__ != "ByteLevel" or self.tokenizer.normalizer is not None:
+            return False
+        to_byte = byte_of()
+        parts = [
+            bytes(to_byte[c] for c in part).decode() for part, _ in own.pre_tokenize_str(probe)
         ]
-        return whole == cut and type(self.tokenizer.pre_tokenizer).__name__ == "ByteLevel"
-
-    def _spaced(self, words: list[str]) -> list[bytes]:
-        """Ids of each word with a space before it."""
-        raws = list(map(self.get, words))
-        if None not in raws:
-            return raws
-        new = list(dict.fromkeys(w for w, raw in zip(words, raws, strict=True) if raw is None))
-        found = dict(zip(new, self._together(new), strict=True))
-        room = REMEMBERED - len(self)
-        self.update(found if room >= len(found) else list(found.items())[: max(0, room)])
-        return [found[w] if raw is None else raw for w, raw in zip(words, raws, strict=True)]
-
-    def _together(self, words: list[str]) -> list[bytes]:
-        """New words are encoded in one call and told apart by the ids that
-        begin with a space: just the first of each word does."""
-        if self.ranks is not None and "" not in words:
-            ids = np.array(self.ranks.encode_ordinary(" " + " ".join(words)), dtype=self.kind)
-            starts = np.flatnonzero(self.leads[ids])
-            if len(starts) == len(words):
-                raw = ids.tobytes()
-                cuts = [*(starts * ids.itemsize).tolist(), len(raw)]
-                return [raw[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
-        return [self._ids(" " + word) for word in words]
-
-    def _ids(self, text: str) -> bytes:
-        if self.ranks is None:
-            return self._own(text)
-        return self._raw(self.ranks.encode_ordinary(text))
-
-    def _own(self, text: str) -> bytes:
-        return self._raw(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def _raw(self, ids: list[int]) -> bytes:
-        made = array("I" if self.wide else "H", ids)
-        if sys.byteorder == "big":
-            made.byteswap()
-        return made.tobytes()
+        return parts == ["One", " two", ",", "three", "\n", " four", "'s", " été", " 12", " $",
+                         "5", ".", " ", " x", " \n\n", " y", "\t"]
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of the text, then the end id."""
-        end = np.array([END_ID], dtype=self.kind).tobytes()
-        if not self.byte_level or any(s in text for s in self.special):
-            raw = self._own(text)
-        elif _TIED.search(text):
-            raw = self._ids(text)
+        if self.ranks is None or any(s in text for s in self.special):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         else:
-            first, *rest = text.split(" ")
-            raw = (self._ids(first) if first else b"") + b"".join(self._spaced(rest))
-        return np.frombuffer(raw + end, dtype=self.kind)
+            ids = self.ranks.encode(text)
+        ids.append(END_ID)
+        return np.array(ids, dtype=self.kind)
+
+
+def starts(groups: np.ndarray, n: int) -> np.ndarray:
+    """Where each of ``n`` groups begins in sorted ``groups``, and their end."""
+    return np.concatenate([[0], np.cumsum(np.bincount(groups, minlength=n))])
 
 
 class Index:
@@ -180,18 +164,18 @@ class Index:
         norm = K1 * (1 - B + B * lengths / mean)
         self.doc = doc
         self.weight = idf[term] * times * (K1 + 1) / (times + norm[doc])
-        self.first = np.searchsorted(term, np.arange(len(df) + 1))
         frequent = (df > n / DENSE) & (df > 1) & (n * n <= CELLS)
         dense = frequent[term]
         column = np.cumsum(frequent) - 1
         self.dense = np.zeros((n, np.count_nonzero(frequent)), np.float32)
         self.dense[doc[dense], column[term[dense]]] = self.weight[dense]
         self.blocks: dict[int, np.ndarray] = {}
-        term, doc = term[~dense], doc[~dense]
-        order = np.lexsort((term, doc))
-        self.by_doc = term[order]
-        self.doc_first = np.searchsorted(doc[order], np.arange(n + 1))
-        self.n = n
+        self.doc, self.weight, self.term = self.doc[~dense], self.weight[~dense], term[~dense]
+        self.first = starts(self.term, len(df))
+        order = np.lexsort((self.term, self.doc))
+        self.by_doc = self.term[order]
+        self.doc_first = np.searchsorted(self.doc[order], np.arange(n + 1))
+        self.n, self.held = n, n
 
     def _dense_scores(self, seed: int) -> np.ndarray:
         block, row = divmod(seed, BLOCK)
@@ -200,25 +184,43 @@ class Index:
             self.blocks[block] = asked.astype(np.float32) @ self.dense.T
         return self.blocks[block][row]
 
+    def forget(self, unused: np.ndarray) -> None:
+        """Drop the postings of used documents, each time an eighth of those
+        that are left has gone; they can't be neighbours any more."""
+        left = int(np.count_nonzero(unused))
+        if left > self.held * 7 // 8:
+            return
+        self.held = left
+        kept = unused[self.doc]
+        self.doc, self.weight, self.term = self.doc[kept], self.weight[kept], self.term[kept]
+        self.first = starts(self.term, len(self.first) - 1)
+
     def scores(self, seed: int) -> np.ndarray:
-        """BM25 of every document by all terms of the seed."""
+        """BM25 of every unused document by all terms of the seed."""
         query = self.by_doc[self.doc_first[seed] : self.doc_first[seed + 1]]
-        parts = [
-            slice(i, j)
-            for i, j in zip(self.first[query].tolist(), self.first[query + 1].tolist(), strict=True)
-        ]
-        scores = np.zeros(self.n)
-        if parts:
-            docs = np.concatenate([self.doc[p] for p in parts])
-            weights = np.concatenate([self.weight[p] for p in parts])
-            scores = np.bincount(docs, weights, minlength=self.n)
+        first, sizes = self.first[query], self.first[query + 1] - self.first[query]
+        ends = np.cumsum(sizes)
+        places = np.repeat(first - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+        scores = np.bincount(self.doc[places], self.weight[places], minlength=self.n)
         return scores + self._dense_scores(seed) if self.dense.shape[1] else scores
 
-    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share terms with the seed, best first."""
+    def neighbours(self, seed: int, unused: np.ndarray) -> Iterator[int]:
+        """Unused documents that share terms with the seed, best first. They are
+        sorted as far as they are asked for."""
+        self.forget(unused)
         scores = self.scores(seed)
         found = np.flatnonzero(unused & (scores > 0))
-        return found[np.argsort(-scores[found], kind="stable")]
+        size = AHEAD
+        while len(found):
+            if len(found) > size:
+                # All that score at least as much as the best of this size.
+                least = np.partition(scores[found], len(found) - size)[len(found) - size]
+                best = found[scores[found] >= least]
+            else:
+                best = found
+            yield from best[np.argsort(-scores[best], kind="stable")].tolist()
+            found = found[scores[found] < scores[best].min()]
+            size *= 4
 
 
 def pack_order(terms: list[np.ndarray], lengths: list[int], window: int = WINDOW) -> list[int]:
@@ -230,26 +232,25 @@ def pack_order(terms: list[np.ndarray], lengths: list[int], window: int = WINDOW
     unused = np.ones(len(terms), bool)
     order: list[int] = []
     filled, cursor = 0, 0
-    queue: list[int] = []
-    at = 0
+    queue: Iterator[int] = iter(())
     while len(order) < len(terms):
         # What stands in the queue was unused when it was asked for, and is
         # taken from its front alone.
-        if at < len(queue):
-            nxt, at = queue[at], at + 1
-        else:
+        nxt = next(queue, None)
+        if nxt is None and order:
+            queue = index.neighbours(order[-1], unused)
+            nxt = next(queue, None)
+        if nxt is None:
             while not unused[cursor]:
                 cursor += 1
             nxt = cursor
         unused[nxt] = False
         order.append(nxt)
         filled += lengths[nxt]
-        if filled >= window or len(order) == 1:
+        if filled >= window:
             # A new window has begun with what ran over: its neighbours are next.
             filled %= window
-            queue, at = index.neighbours(nxt, unused).tolist(), 0
-        elif at == len(queue):
-            queue, at = index.neighbours(nxt, unused).tolist(), 0
+            queue = index.neighbours(nxt, unused)
     return order
 
 

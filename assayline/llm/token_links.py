@@ -56,7 +56,7 @@ class ByteTokens:
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         if self._ranks is not None:
-            return [self._ranks.encode_ordinary(text) for text in texts]
+            return [self._ranks.encode(text) for text in texts]
         return [e.ids for e in self._tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 

@@ -627,3 +627,35 @@ def test_pipeline_takes_effect(spark, tmp_path):
     assert set(rows.doc_id) == set(mixed.index)
     whole = rows.groupby("doc_id").agg(length=("length", "sum"), tokens=("doc_tokens", "first"))
     assert (whole.length == whole.tokens * mixed[whole.index]).all()
+
+
+def test_ranked_encoding_equals_the_tokenizer():
+    encoder = packing.Encoder(packing.default_tokenizer())
+    assert encoder.ranks is not None
+    pick = random.Random(12)
+    parts = [
+        *packing.SPACES, "\x1c", "\x1f", "​", "﻿", *[" "] * 12, *["\n"] * 6, "\r\n", "  ",
+        "'re", "'s", "don't", "<|endoftext|>", *"abzE,.!12é日😀ſ",
+    ]
+    texts = ["".join(pick.choice(parts) for _ in range(pick.randrange(16))) for _ in range(15_000)]
+    texts += [f"a{chr(c)}1{chr(c)} {chr(c)}.{chr(c)}  {chr(c)}b" for c in range(1, 0x3100)]
+    for text in texts:
+        want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert encoder.encode(text).tolist() == [*want, packing.END_ID]
+        if "<|" not in text:
+            assert encoder.ranks.encode(text) == want
+
+
+def test_neighbours_come_sorted_and_used_documents_are_forgotten():
+    pick = random.Random(3)
+    terms = [np.array([pick.randrange(400) for _ in range(30)]) for _ in range(300)]
+    index, plain = packing.Index(terms), packing.Index(terms)
+    unused = np.ones(300, bool)
+    for seed in range(0, 300, 3):
+        unused[seed] = False
+        scores = plain.scores(seed)
+        want = sorted((d for d in range(300) if unused[d] and scores[d] > 0), key=lambda d: (-scores[d], d))
+        got = list(index.neighbours(seed, unused))
+        assert got == want
+        unused[got[:2]] = False
+    assert index.held < 300 and len(index.doc) < len(plain.doc)
