@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayline.sources.staging import staging_root
+from assayline.sources.staging import delete_folder, staging_root
 
 # What separates words, and what a word is.
 WHITE = r"[\x20\x09-\x0D]"
@@ -39,6 +39,13 @@ def crc_part(column: str, parts: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % parts
 
 
+def refuse_clash(kept: tuple[str, ...], made: tuple[str, ...]) -> None:
+    """Columns that are carried to a result can't have the names of its own."""
+    both = sorted(set(kept) & set(made))
+    if both:
+        raise ValueError(f"columns of the result can't be carried: {both}")
+
+
 def sampled(df: DataFrame, column: str, most: int, total: int) -> DataFrame:
     """At most ``most`` of the ``total`` rows, those with the smallest hashes of
     ``column``. A share of the hashes is cut off first that leaves half as many
@@ -68,13 +75,23 @@ def stage(df: DataFrame, label: str, by: tuple[str, ...] = ()) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def folders() -> set[str]:
+    """The folders that are to be deleted."""
+    return set(_folders)
+
+
+def free(paths: set[str]) -> None:
+    """Delete such folders now; nothing may read them any more."""
+    for path in paths:
+        spark = _folders.pop(path, None)
+        if spark is not None:
+            delete_folder(spark, path)
+
+
 @atexit.register
 def _clean() -> None:
-    for path, spark in _folders.items():
+    for path in folders():
         try:
-            jvm = spark.sparkContext._jvm
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            conf = spark.sparkContext._jsc.hadoopConfiguration()
-            place.getFileSystem(conf).delete(place, True)
+            free({path})
         except Exception:  # noqa: BLE001  the session has ended: nothing can be reached
             return

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayline.llm.common import WHITE, stage, text_or_empty
+from assayline.llm.common import WHITE, refuse_clash, stage, text_or_empty
 
 
 def exact_dedup(
@@ -32,11 +32,12 @@ def exact_dedup(
     last), then the first read. Null text counts as empty; all empty texts
     are one group. An empty table gives no rows. Rows repeated with their id
     are members like any other, so exactly one row of a group is kept.
-    ``keep_columns`` are carried to the result and must not have the names of
-    its columns.
+    ``keep_columns`` are carried to the result; the names of its own columns
+    are refused there.
 
     Columns: id, keep_id, group_size long, kept boolean, text_sha256 string.
     """
+    refuse_clash(keep_columns, (id_col, "keep_id", "group_size", "kept", "text_sha256"))
     text = text_or_empty(text_col)
     bare = F.regexp_replace(text, WHITE + "+", "")
     rows = stage(

@@ -6,7 +6,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayline.llm.common import folder, lower_ascii, stage, text_or_empty
+from assayline.llm.common import folder, lower_ascii, refuse_clash, stage, text_or_empty
 
 # What is stripped from both ends of a line, and the shortest key.
 STRIPPED = " \t\n\x0b\x0c\r"
@@ -184,9 +184,7 @@ def line_dedup(
 
     Columns: id, n_lines long (before dropping), n_dropped long, text string.
     """
-    made = {id_col, "n_lines", "n_dropped", "text"}
-    if made & set(keep_columns):
-        raise ValueError(f"columns of the result can't be carried: {made & set(keep_columns)}")
+    refuse_clash(keep_columns, (id_col, "n_lines", "n_dropped", "text"))
     spark = docs.sparkSession
     text = text_or_empty(text_col)
     source = docs.select(

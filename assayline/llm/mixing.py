@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayline.llm.common import stage, text_or_empty, word_count
+from assayline.llm.common import refuse_clash, stage, text_or_empty, word_count
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -99,8 +99,10 @@ def mix(
     table gives no rows.
 
     Columns: id, source, size, source_size, target, copies, taken, and
-    ``keep_columns``.
+    ``keep_columns``; the names of the result's own columns are refused there.
     """
+    made = (id_col, "source", "size", "source_size", "target", "copies", "taken")
+    refuse_clash(keep_columns, made)
     kept = [F.col(c).alias(f"__keep_{c}") for c in keep_columns]
     key = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     sized = stage(

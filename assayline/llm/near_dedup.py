@@ -143,9 +143,14 @@ def _signatures(size: int):
 
 
 def compare(
-    n: np.ndarray, sketches: np.ndarray, percent: int, cross: np.ndarray | None = None
+    n: np.ndarray,
+    sketches: np.ndarray,
+    percent: int,
+    cross: np.ndarray | None = None,
+    certain: float = SIGMAS,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a block that may be linked, and those that are certain to be.
+    """Pairs of a block that may be linked, and those that are certain to be, by
+    ``certain`` standard deviations.
 
     The XOR of two odd sketches has a bit for each sample in one of the sets
     only, unless samples met on a bit. So its population count never exceeds
@@ -174,8 +179,8 @@ def compare(
         full = np.minimum(2 * z / BITS, 0.999)
         differ = -BITS / 2 * np.log1p(-full)
         noise = BITS / 4 * -np.expm1(-4 * differ / BITS) - differ * np.exp(-4 * differ / BITS)
-        differ += SIGMAS * np.sqrt(np.maximum(noise, 0)) * np.exp(2 * differ / BITS)
-        sure[i, rest] = may[i, rest] & ((both - differ) / 2 >= need + spread)
+        differ += certain * np.sqrt(np.maximum(noise, 0)) * np.exp(2 * differ / BITS)
+        sure[i, rest] = may[i, rest] & ((both - differ) / 2 >= need + spread * certain / SIGMAS)
     return may, sure
 
 
@@ -203,8 +208,9 @@ def block_edges(may: np.ndarray, sure: np.ndarray) -> list[tuple[int, int, bool]
     return edges
 
 
-def _candidates(percent: int):
-    """Rows arrive sorted by bucket and block."""
+def _candidates(percent: int, certain: float):
+    """Rows arrive sorted by bucket and block. Where they come with the label of
+    a component, pairs within one are left out and none is certain."""
 
     def pairs(batch: pa.Table) -> Iterator[pa.RecordBatch]:
         rows = batch.column("__row").to_numpy()
@@ -212,6 +218,8 @@ def _candidates(percent: int):
         parts = batch.column("__part").to_numpy()
         first, second = batch.column("__i").to_numpy(), batch.column("__j").to_numpy()
         keys = batch.column("__key").to_numpy()
+        labelled = "__label" in batch.schema.names
+        labels = batch.column("__label").to_numpy() if labelled else None
         raw = b"".join(batch.column("__sketch").to_pylist())
         sketches = np.frombuffer(raw, np.uint64).reshape(len(rows), BITS // 64)
         change = (np.diff(keys) != 0) | (np.diff(first) != 0) | (np.diff(second) != 0)
@@ -222,11 +230,15 @@ def _candidates(percent: int):
                 continue
             order = lo + np.argsort(rows[lo:hi], kind="stable")
             cross = parts[order] if first[lo] != second[lo] else None
-            may, sure = compare(n[order], sketches[order], percent, cross)
-            for i, j, certain in block_edges(may, sure):
+            may, sure = compare(n[order], sketches[order], percent, cross, certain)
+            if labels is not None:
+                of = labels[order]
+                may &= of[:, None] != of[None, :]
+                sure[:] = False
+            for i, j, is_sure in block_edges(may, sure):
                 out_a.append(rows[order[i]])
                 out_b.append(rows[order[j]])
-                out_s.append(certain)
+                out_s.append(is_sure)
         yield pa.RecordBatch.from_arrays(
             [pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64()), pa.array(out_s, pa.bool_())],
             ["a", "b", "sure"],
@@ -274,6 +286,35 @@ def _confirm(size: int, percent: int):
     return run
 
 
+def _compared(
+    blocks: DataFrame, signed: DataFrame, percent: int, certain: float, label: DataFrame | None = None
+) -> DataFrame:
+    """(a, b, sure): the edges of all blocks."""
+    rows = blocks.join(signed.select("__row", "__n", "__sketch"), "__row")
+    if label is not None:
+        of = label.select(F.col("node").alias("__row"), F.col("label").alias("__label"))
+        rows = rows.join(of, "__row", "left").withColumn("__label", F.coalesce("__label", "__row"))
+    return (
+        rows.repartition("__key", "__i", "__j")
+        .sortWithinPartitions("__key", "__i", "__j")
+        .mapInArrow(_candidates(percent, certain), "a long, b long, sure boolean")
+        .groupBy("a", "b")
+        .agg(F.max("sure").alias("sure"))
+    )
+
+
+def _between(edges: DataFrame, label: DataFrame) -> DataFrame:
+    """The edges whose ends lie in two components."""
+    one = label.select(F.col("node").alias("a"), F.col("label").alias("__la"))
+    two = label.select(F.col("node").alias("b"), F.col("label").alias("__lb"))
+    return (
+        edges.join(one, "a", "left")
+        .join(two, "b", "left")
+        .filter(F.coalesce("__la", "a") != F.coalesce("__lb", "b"))
+        .select(*edges.columns)
+    )
+
+
 def _confirmed(edges: DataFrame, texts: DataFrame, size: int, percent: int, label: str):
     """Edges whose full shingle sets are similar enough."""
     left = texts.select(F.col("__row").alias("a"), F.col("__text").alias("__ta"))
@@ -289,6 +330,7 @@ def near_dedup(
     text_col: str = "text",
     shingle: int = 5,
     percent: int = 80,
+    certain: float = SIGMAS,
 ) -> DataFrame:
     """Component of each document among near duplicates.
 
@@ -306,7 +348,9 @@ def near_dedup(
        Within a block all pairs are compared by XOR of the sketches, but only
        edges that keep its links are emitted.
     4. Edges are confirmed on the full shingle sets, first one per document,
-       then those that would still join two components.
+       then those that would still join two components. Where an edge that was
+       certain by ``certain`` standard deviations is refuted, its buckets are
+       compared once more without certain pairs, so no link stays hidden.
     5. Components are labelled with distributed star contractions.
 
     Null and empty texts have no shingles and stand alone. A null id is
@@ -317,7 +361,7 @@ def near_dedup(
 
     Columns: id, n_shingles, component_id, kept.
     """
-    judged, _ = _judged(docs, id_col, text_col, shingle, percent, ())
+    judged, _ = _judged(docs, id_col, text_col, shingle, percent, (), certain)
     return judged.drop("__row").withColumnRenamed("__id", id_col)
 
 
@@ -338,7 +382,9 @@ def keep_one_of_near(
     )
 
 
-def _judged(docs, id_col, text_col, shingle, percent, carried) -> tuple[DataFrame, DataFrame]:
+def _judged(
+    docs, id_col, text_col, shingle, percent, carried, certain=SIGMAS
+) -> tuple[DataFrame, DataFrame]:
     """Row, id, n_shingles, component_id and kept; and the signed documents
     with the carried columns, numbered."""
     source = docs.select(
@@ -390,30 +436,27 @@ def _judged(docs, id_col, text_col, shingle, percent, carried) -> tuple[DataFram
             F.greatest("__part", "__other").alias("__j"),
         )
     )
-    edges = (
-        blocks.join(signed.select("__row", "__n", "__sketch"), "__row")
-        .repartition("__key", "__i", "__j")
-        .sortWithinPartitions("__key", "__i", "__j")
-        .mapInArrow(_candidates(percent), "a long, b long, sure boolean")
-        .groupBy("a", "b")
-        .agg(F.max("sure").alias("sure"))
-    )
-    edges = stage(edges, "near-edges")
+    edges = stage(_compared(blocks, signed, percent, certain), "near-edges")
     texts = signed.select("__row", F.coalesce("__text", F.lit("")).alias("__text"))
     first = edges.filter("sure").groupBy("b").agg(F.min("a").alias("a"))
     firm = _confirmed(first, texts, shingle, percent, "near-firm")
     label = components(firm)
-    one = label.select(F.col("node").alias("a"), F.col("label").alias("__la"))
-    two = label.select(F.col("node").alias("b"), F.col("label").alias("__lb"))
     tried = first.select("a", "b")
-    apart = (
-        edges.join(tried, ["a", "b"], "left_anti")
-        .join(one, "a", "left")
-        .join(two, "b", "left")
-        .filter(F.coalesce("__la", "a") != F.coalesce("__lb", "b"))
-    )
-    more = _confirmed(apart, texts, shingle, percent, "near-more")
-    label = components(firm.unionByName(more))
+    apart = _between(edges.join(tried, ["a", "b"], "left_anti"), label)
+    links = firm.unionByName(_confirmed(apart, texts, shingle, percent, "near-more"))
+    label = components(links)
+    refuted = stage(_between(edges.filter("sure"), label).select("a", "b"), "near-refuted")
+    if not refuted.isEmpty():
+        # A tree that held a refuted edge may have hidden links: its buckets are
+        # compared once more, without certain pairs, across components.
+        here = placed.select(F.col("__row").alias("a"), "__key")
+        there = placed.select(F.col("__row").alias("b"), "__key")
+        keys = refuted.join(here, "a").join(there, ["b", "__key"]).select("__key").distinct()
+        hidden = _compared(
+            blocks.join(keys, "__key", "left_semi"), signed, percent, certain, label
+        ).join(edges, ["a", "b"], "left_anti")
+        links = links.unionByName(_confirmed(hidden, texts, shingle, percent, "near-hidden"))
+        label = components(links)
     ids = signed.select("__row", "__id", "__n", "__digest")
     joined = (
         ids.join(classes, "__digest", "left")

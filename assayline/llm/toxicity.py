@@ -8,14 +8,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assayline.llm.common import WORD, crc_part, sampled
 
-# The fit uses at most so many labelled documents of each kind, whole.
-TOXIC_SAMPLE, CLEAN_SAMPLE = 1500, 4000
+# The fit uses at most so many labelled documents of each kind, whole, and at
+# most so many bytes of their texts.
+TOXIC_SAMPLE, CLEAN_SAMPLE, SAMPLE_BYTES = 2000, 5000, 64 << 20
+# Windows a document that are drawn at random for the chain, besides those that
+# cover all tagged tokens.
+PLAIN_WINDOWS = 4
 # Features are hashed: into COUNTED slots while their documents are counted,
 # and those into SLOTS weights.
 COUNTED, SLOTS = 1 << 22, 1 << 18
@@ -171,11 +175,31 @@ def _marked(docs: list[np.ndarray], places: np.ndarray, toxic: np.ndarray) -> np
     return marked
 
 
-def fit(texts: Iterable[str | None], toxic: list[int], epochs: int = 4, seed: int = 5) -> Tagger:
+def covering(places: np.ndarray, length: int) -> list[int]:
+    """Starts of windows in a text of ``length`` tokens that cover all
+    ``places``, in rising order, the first of each in its window's middle."""
+    starts, end = [], -1
+    for place in places.tolist():
+        if place >= end:
+            start = max(0, min(place - WINDOW // 2, length - WINDOW))
+            starts.append(start)
+            end = start + WINDOW
+    return starts
+
+
+def fit(
+    texts: Iterable[str | None],
+    toxic: list[int],
+    plain_windows: int = PLAIN_WINDOWS,
+    epochs: int = 4,
+    seed: int = 5,
+) -> Tagger:
     """Tags tokens of the toxic documents by the features that mark them, fits
-    the chain on windows of tagged tokens by AdaGrad on its exact gradient,
-    and the document score by logistic regression on the marginals. Documents
-    are held as numbers of their words."""
+    the chain by AdaGrad on its exact gradient, and the document score by
+    logistic regression on the marginals. The chain is fitted on windows that
+    cover every tagged token, wherever in its text, and on ``plain_windows``
+    drawn at random from all of each text. Documents are held as numbers of
+    their words."""
     known: dict[bytes, int] = {}
     flat = array("i")
     docs = []
@@ -201,8 +225,9 @@ def fit(texts: Iterable[str | None], toxic: list[int], epochs: int = 4, seed: in
         if not len(ids):
             continue
         truth = tagged[ids] & bool(kind)
-        starts = {max(0, int(i) - WINDOW // 2) for i in np.nonzero(truth)[0][:40]}
-        starts |= {int(i) for i in rng.integers(0, max(1, len(ids) - WINDOW + 1), 4)}
+        starts = set(covering(np.nonzero(truth)[0], len(ids)))
+        drawn = rng.integers(0, max(1, len(ids) - WINDOW + 1), plain_windows)
+        starts |= {int(i) for i in drawn}
         for s in sorted(starts):
             piece = np.full(WINDOW, blank, np.int32)
             mark = np.zeros(WINDOW, np.float32)
@@ -291,6 +316,7 @@ def _expected(score: np.ndarray, start: float, step: np.ndarray) -> tuple[np.nda
     return unary, pair
 
 
+ADDED = ("held_out", "score", "predicted", "spans")
 SPANS = T.ArrayType(
     T.StructType(
         [
@@ -342,10 +368,18 @@ def _tagged(shared):
 
 
 def training_sample(
-    docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, toxic: int, clean: int
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str,
+    text_col: str,
+    toxic: int,
+    clean: int,
+    most_bytes: int = SAMPLE_BYTES,
 ) -> tuple[list[str], list[int]]:
     """At most so many labelled documents of each kind, those with the
-    smallest hashes of their ids; rows with remainder 1 are left out."""
+    smallest hashes of their ids, as long as their texts have ``most_bytes``
+    together; rows with remainder 1 are left out. Of the texts of a repeated id
+    the first in order stands."""
     chosen = (
         labels.filter(F.col("toxic").isNotNull() & (crc_part("doc_id", 3) != 1))
         .groupBy(F.col("doc_id").alias("__label_id"))
@@ -359,12 +393,20 @@ def training_sample(
     ]
     # At most ``toxic + clean`` ids.
     ids = F.broadcast(parts[0].unionByName(parts[1]).select("__label_id", "__toxic", "__h"))
-    rows = (
+    found = (
         docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
         .join(ids, F.col("__id") == F.col("__label_id"))
-        .select("__h", "__id", "__toxic", "__text")
-        .dropDuplicates(["__id"])
+        .groupBy("__h", "__id", "__toxic")
+        .agg(F.min("__text").alias("__text"))
+    )
+    # At most ``toxic + clean`` rows, so one task may number them.
+    size = F.coalesce(F.octet_length("__text"), F.lit(0))
+    upto = F.sum(size).over(Window.orderBy("__h", "__id"))
+    rows = (
+        found.withColumn("__upto", upto)
+        .filter(F.col("__upto") <= most_bytes)
         .orderBy("__h", "__id")
+        .select("__toxic", "__text")
         .collect()
     )
     return [r["__text"] for r in rows], [r["__toxic"] for r in rows]
@@ -379,22 +421,27 @@ def toxicity(
     toxic_sample: int = TOXIC_SAMPLE,
     clean_sample: int = CLEAN_SAMPLE,
     train_docs: DataFrame | None = None,
+    sample_bytes: int = SAMPLE_BYTES,
+    plain_windows: int = PLAIN_WINDOWS,
 ) -> DataFrame:
     """``docs`` with a toxicity score and the offending offsets.
 
     The tagger is fitted on the driver from at most ``toxic_sample +
-    clean_sample`` labelled documents (``labels``: doc_id, toxic) whose
-    remainder crc32(id) mod 3 is not 1, taken from ``train_docs`` (default:
-    ``docs``); only their text is an input. It is then applied to every whole
-    text in the map tasks: no shuffle, and memory for one batch.
+    clean_sample`` labelled documents (``labels``: doc_id, toxic) of at most
+    ``sample_bytes`` of text together, whose remainder crc32(id) mod 3 is not 1,
+    taken from ``train_docs`` (default: ``docs``); only their text is an input.
+    Sampled texts are used whole (see ``fit`` for ``plain_windows``). The tagger
+    is then applied to every whole text in the map tasks: no shuffle, and
+    memory for one batch.
 
     Null and empty texts have no tokens and get the score of a document
     without toxic ones. Without labels of both kinds every score is a
     constant on the side of the labels there are. A null id is allowed and
     never a training row; repeated rows are scored one by one; an empty table
-    gives no rows. All columns of ``docs`` are kept as they are; the added
-    ones are held_out boolean, score double, predicted int, spans
-    array<struct<start, end, chance>> in code points, end exclusive.
+    gives no rows. All columns of ``docs`` are kept as they are but for those
+    named like an added one, which takes their place. Added are held_out
+    boolean, score double, predicted int, spans array<struct<start, end,
+    chance>> in code points, end exclusive.
     """
     spark = docs.sparkSession
     texts, kinds = training_sample(
@@ -404,10 +451,12 @@ def toxicity(
         text_col,
         toxic_sample,
         clean_sample,
+        sample_bytes,
     )
-    shared = spark.sparkContext.broadcast(fit(texts, kinds))
+    shared = spark.sparkContext.broadcast(fit(texts, kinds, plain_windows))
+    kept = [c for c in docs.columns if c not in ADDED]
     source = docs.select(
-        F.struct(*[F.col(c) for c in docs.columns]).alias("__doc"),
+        F.struct(*[F.col(c) for c in kept]).alias("__doc"),
         F.col(text_col).cast("string").alias("__text"),
         F.col(id_col).alias("__id"),
     )
@@ -420,7 +469,7 @@ def toxicity(
     )
     scored = source.mapInArrow(_tagged(shared), schema)
     return scored.select(
-        "__doc.*",
+        *[F.col("__doc").getField(c).alias(c) for c in kept],
         (crc_part("__id", 3) == 1).alias("held_out"),
         F.col("__score").alias("score"),
         (F.col("__score") >= threshold).cast("int").alias("predicted"),

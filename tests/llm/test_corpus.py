@@ -191,6 +191,38 @@ def test_near_dedup_equals_brute_force(spark, monkeypatch, block):
     assert (got.kept == (got.index == got.component_id)).all()
 
 
+@pytest.mark.parametrize("block", [near_dedup.BLOCK, 5])
+def test_links_behind_a_refuted_edge_are_found(spark, monkeypatch, block):
+    """Chains whose neighbours are linked while the next but one is not. At
+    first one certain edge a document is given, as where all its buckets hold
+    the same tree; some of them are refuted, and the tree hides real links."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    staged = []
+    monkeypatch.setattr(
+        near_dedup, "_confirmed", lambda *a, f=near_dedup._confirmed: (staged.append(a[-1]), f(*a))[1]
+    )
+
+    def forest_only(*args, f=near_dedup._compared):
+        made = f(*args)
+        if len(args) == 5:
+            return made
+        return made.groupBy("b").agg(F.min("a").alias("a")).select("a", "b", F.lit(True).alias("sure"))
+
+    monkeypatch.setattr(near_dedup, "_compared", forest_only)
+    rows = []
+    for k in range(6):
+        text = prose(50 + k, 2600)
+        for j in range(6):
+            rows.append((len(rows), text, "en", "a", 0))
+            text = altered(text, 100 * k + j, 0.02)
+    docs = spark.createDataFrame(rows, DOCS).coalesce(1)
+    wanted, _ = brute_components(rows, 4, 80)
+    assert len(set(wanted.values())) < len(rows)
+    got = near_dedup.near_dedup(docs, shingle=4, certain=-50.0).toPandas()
+    assert dict(zip(got.doc_id, got.component_id, strict=True)) == wanted
+    assert "near-hidden" in staged
+
+
 def test_odd_sketch_never_overstates_a_difference():
     rng = np.random.default_rng(3)
     for differ in (0, 5, 40, 200):
@@ -212,6 +244,20 @@ def test_components_of_chains_and_stars(spark):
     assert {label[i] for i in range(100, 160)} == {100} and label[300] == 200
 
 
+def test_edge_rows_of_addresses(spark):
+    long = "https://net/" + "x/" * 40_000 + "?" + "&".join(f"k{i}={i}" for i in range(2000))
+    rows = [(1, None), (2, ""), (3, long), (4, long.upper()), (5, "http://a.com/b"), (5, "http://a.com/b"),
+            (None, "http://a.com/b"), (None, None), (6, " \t\n"), (7, "http://\u00fc\U0001f600.org/\u00e9")]
+    names = ("host", "path", "rule", "verdict", "listed", "canonical", "__row", "block")
+    pages = spark.createDataFrame(rows, "page_id long, url string").repartition(3)
+    pages = pages.withColumns({c: F.lit("clash") for c in names})
+    listed = spark.createDataFrame([(None,), ("",), ("http://A.com/b",), (long,)], "url string")
+    got = url_filter.filter_urls(pages, listed.withColumn("host", F.lit("clash"))).toPandas()
+    verdicts = sorted((r.page_id if r.page_id == r.page_id else -1, r.verdict) for r in got.itertuples())
+    assert verdicts == [(-1, "allow"), (-1, "block"), (1, "allow"), (2, "allow"), (3, "block"),
+                        (4, "block"), (5, "block"), (5, "block"), (6, "allow"), (7, "allow")]
+
+
 # URL filter ------------------------------------------------------------------
 
 
@@ -659,3 +705,58 @@ def test_neighbours_come_sorted_and_used_documents_are_forgotten():
         assert got == want
         unused[got[:2]] = False
     assert index.held < 300 and len(index.doc) < len(plain.doc)
+
+
+def test_windows_cover_every_tagged_token():
+    pick = np.random.default_rng(4)
+    for length in (1, 5, 21, 22, 400, 5000):
+        for share in (0.0, 0.01, 0.5, 1.0):
+            places = np.nonzero(pick.random(length) < share)[0]
+            starts = toxicity.covering(places, length)
+            inside = {s + k for s in starts for k in range(toxicity.WINDOW)}
+            assert set(places.tolist()) <= inside
+            assert len(starts) <= min(len(places), 2 * length // toxicity.WINDOW + 1)
+            assert starts == sorted(starts) and all(s >= 0 for s in starts)
+
+
+def test_columns_named_like_added_ones_give_way(spark, labels):
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string").withColumns(
+        {c: F.lit("clash") for c in (*toxicity.ADDED, "__doc", "__text", "more")}
+    )
+    made = toxicity.toxicity(docs, labels)
+    assert made.columns == ["doc_id", "text", "__doc", "__text", "more", *toxicity.ADDED]
+    assert [r.more for r in made.collect()] == ["clash"] * 2
+    for call in (exact_dedup, mix):
+        with pytest.raises(ValueError, match="carried"):
+            call(docs.withColumns({"kept": F.lit(1), "taken": F.lit(1)}), keep_columns=("kept", "taken"))
+
+
+def test_sample_of_repeated_ids_is_the_same_and_bounded(spark, labels):
+    rows = [(i, f"text {i} of {k}") for i in range(1, 10) for k in range(5)] + [(3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ask = lambda d, most: toxicity.training_sample(d, labels, "doc_id", "text", 5, 5, most)
+    found = ask(docs.repartition(7), 1 << 20)
+    assert found == ask(docs.repartition(3), 1 << 20) and all(t.endswith("of 0") for t in found[0])
+    few = ask(docs, 25)
+    assert sum(map(len, few[0])) <= 25 and few[0] == found[0][: len(few[0])]
+
+
+def test_pipeline_takes_edge_rows_clashes_and_empty_tables(spark, edges, labels, empty, tmp_path):
+    """Every stage on nulls, empty and very long texts, repeated rows and
+    clashing columns; the result against plain steps; nothing is left over."""
+    import corpus_pipeline
+    from assayline.llm.common import folders
+
+    more = (*toxicity.ADDED, "keep_id", "taken", "copies", "sequence_id", "n_shingles")
+    for name, docs in (("edge", edges.withColumns({c: F.lit("clash") for c in more})), ("none", empty)):
+        docs.write.parquet(str(tmp_path / name / "documents.parquet"))
+        labels.write.parquet(str(tmp_path / name / "labels.parquet"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        made = stage(spark, spark.read.parquet(str(tmp_path / "edge/documents.parquet")), str(tmp_path / "edge"))
+        assert made.columns == list(corpus_pipeline.COLUMNS) and made.count() >= 1
+    known = folders()
+    packed = corpus_pipeline.run(spark, str(tmp_path / "edge"))
+    assert len(folders() - known) == 1
+    rows = packed.collect()
+    assert rows and packed.columns[:3] == ["doc_id", "start", "length"]
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
