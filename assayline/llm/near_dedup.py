@@ -455,8 +455,9 @@ def _judged(
         hidden = _compared(
             blocks.join(keys, "__key", "left_semi"), signed, percent, certain, label
         ).join(edges, ["a", "b"], "left_anti")
-        links = links.unionByName(_confirmed(hidden, texts, shingle, percent, "near-hidden"))
-        label = components(links)
+        found = _confirmed(hidden, texts, shingle, percent, "near-hidden")
+        if not found.isEmpty():
+            label = components(links.unionByName(found))
     ids = signed.select("__row", "__id", "__n", "__digest")
     joined = (
         ids.join(classes, "__digest", "left")
