@@ -271,11 +271,15 @@ def run(
     strict: bool = False,
     accuracy: int | None = None,
     metrics: Metrics | None = None,
+    ranges: Mapping[str, tuple[float, float]] = rules.RANGES,
+    filled: float = rules.NON_NULL_SHARE,
+    known_status: float = rules.STATUS_SHARE,
 ) -> dict[str, dict[str, int] | DataFrame]:
     """Run a range of layers in one session. A failing stage stops the run.
     ``only`` and ``strict`` are for the bronze stage; ``accuracy`` takes
     quantile sketches of that size instead of exact quantiles; ``metrics``
-    counts the rows of the silver steps."""
+    counts the rows of the silver steps; ``ranges``, ``filled`` and
+    ``known_status`` are those of ``quality``."""
     done: dict[str, dict[str, int] | DataFrame] = {}
     for stage in stage_range(first, last, with_quality):
         if stage == "bronze":
@@ -283,7 +287,7 @@ def run(
                 raise ValueError("the bronze stage needs a landing")
             done[stage] = bronze(spark, layout, landing, only, moment, strict)
         elif stage == "quality":
-            done[stage] = quality(spark, layout, gate)
+            done[stage] = quality(spark, layout, gate, ranges, filled, known_status)
         elif stage == "silver":
             done[stage] = silver(spark, layout, moment, accuracy, metrics)
         else:

@@ -290,6 +290,18 @@ GOLD = {
 }
 
 # Partition columns per table.
+QUALITY_RESULTS = T.StructType(
+    [
+        T.StructField("suite", TEXT),
+        T.StructField("rule", TEXT),
+        T.StructField("column", TEXT),
+        T.StructField("n_checked", LONG),
+        T.StructField("n_unexpected", LONG),
+        T.StructField("observed", TEXT),
+        T.StructField("success", BOOL),
+    ]
+)
+
 PARTITIONS = {
     "resultats_dis": ("_partition_annee",),
     "mesures": ("annee_prelevement", "code_departement"),

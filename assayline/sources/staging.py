@@ -1,11 +1,15 @@
 """Intermediate tables in the shared folder, so they outlive any executor."""
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_made: dict[str, SparkSession] = {}
+
+
 def staging_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``. Where it is unset, a
     temporary folder is taken, in local mode only."""
@@ -25,7 +29,10 @@ def staging_root(spark: SparkSession) -> str:
 
 
 def staged_path(spark: SparkSession, label: str) -> str:
-    return f"{staging_root(spark)}/staged/{label}-{uuid.uuid4().hex}"
+    """A new folder in the shared one; it goes when the driver ends."""
+    path = f"{staging_root(spark)}/staged/{label}-{uuid.uuid4().hex}"
+    _made[path] = spark
+    return path
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -58,6 +65,7 @@ class Staging:
 
     def __exit__(self, *_) -> None:
         delete_folder(self._spark, self._folder)
+        _made.pop(self._folder, None)
 
 
 def delete_folder(spark: SparkSession, path: str) -> bool:
@@ -74,3 +82,12 @@ def delete_folder(spark: SparkSession, path: str) -> bool:
 
 def _classic(spark: SparkSession) -> bool:
     return hasattr(spark, "_jsparkSession")
+
+
+@atexit.register
+def _clean() -> None:
+    for path in list(_made):
+        try:
+            delete_folder(_made.pop(path), path)
+        except Exception:  # noqa: BLE001  the session has ended: nothing can be reached
+            return

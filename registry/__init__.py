@@ -1,4 +1,4 @@
-from registry import more  # noqa: F401  registers its queries
+from registry import more, runs  # noqa: F401  register their queries
 from registry.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -1,5 +1,7 @@
 """SQL of the contract-shaped views and of every registered query."""
 
+import re
+
 _LABEL = """CASE l_linenumber WHEN 1 THEN 'Nitrates (en NO3)' WHEN 2 THEN ' pH'
  WHEN 3 THEN 'Turbidité néphélométrique NFU' WHEN 4 THEN 'Nitrites (en NO2) '
  WHEN 5 THEN 'Conductivité à 25°C' WHEN 6 THEN 'Escherichia coli'
@@ -311,3 +313,66 @@ def using(*names: str) -> str:
     for name in names:
         add(name)
     return "WITH " + ",\n".join(f"{n} AS ({VIEWS[n][1]})" for n in order) + "\n"
+
+
+def over(view: str, **other: str) -> str:
+    """SQL of a view with other tables in the place of those it reads."""
+    sql = VIEWS[view][1]
+    for old, new in other.items():
+        sql = re.sub(rf"\b(FROM|JOIN) {old}\b", rf"\1 {new}", sql)
+    return sql
+
+
+# What a whole run stores: gold tables over the silver tables of the run, whose
+# places are those that a network serves.
+VIEWS.update(
+    {
+        "run_places": (
+            ("places", "order_places"),
+            """SELECT * FROM places WHERE code_commune IN (
+  SELECT CAST(o_custkey AS VARCHAR) FROM lineitem JOIN order_places ON l_orderkey = o_orderkey)""",
+        ),
+        # Landed results have one load time, so copies are told apart by their columns.
+        "run_deduped": (
+            ("typed",),
+            VIEWS["deduped"][1].replace("_ingestion_timestamp DESC NULLS LAST, ", ""),
+        ),
+        "run_clean": (("run_deduped",), over("clean", deduped="run_deduped")),
+        "run_samples": (
+            ("run_conformity",),
+            """SELECT code_prelevement, annee_prelevement, code_departement,
+  nom_departement_norm, code_commune, nom_commune_norm, conformite_globale FROM run_conformity""",
+        ),
+        "run_measures": (
+            ("run_flagged",),
+            """SELECT code_prelevement, annee_prelevement, mois_prelevement, code_departement,
+  nom_departement_norm, code_commune, nom_commune_norm, code_parametre, libelle_parametre_norm,
+  categorie_parametre, libelle_unite_norm, resultat_parse, _resultat_manquant, _est_outlier,
+  est_sous_seuil, limite_qualite_parametre, reference_qualite_parametre FROM run_flagged""",
+        ),
+    }
+)
+VIEWS["run_flagged"] = (("run_clean",), over("flagged", clean="run_clean"))
+VIEWS["run_conformity"] = (("run_clean",), over("conformity", clean="run_clean"))
+VIEWS.update(
+    {
+        "run_statuses": (
+            ("run_samples", "run_places"),
+            over("statuses", samples="run_samples", places="run_places"),
+        ),
+        "run_stats": (
+            ("run_measures", "run_places"),
+            over("stats", measures="run_measures", places="run_places"),
+        ),
+        "run_regions": (
+            ("run_samples", "run_places"),
+            over("regions", samples="run_samples", places="run_places"),
+        ),
+        "run_scores": (("run_statuses",), over("scores", statuses="run_statuses")),
+        "run_violations": (
+            ("run_samples", "run_measures", "run_places"),
+            over("violations", samples="run_samples", measures="run_measures", places="run_places"),
+        ),
+    }
+)
+VIEWS["run_ranked"] = (("run_scores",), over("ranked", scores="run_scores"))

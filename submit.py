@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 
 from assayline import schemas
 from assayline.operators import Metrics, null_profile
-from assayline.plans import jobs, reports
+from assayline.plans import jobs, quality, reports
 from assayline.sources import Layout, read_table
 
 
@@ -34,12 +34,33 @@ def parsed(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--with-quality", action="store_true")
     parser.add_argument("--gate", action="store_true")
     parser.add_argument("--accuracy", type=int, help="quantile sketches instead of exact ones")
+    parser.add_argument("--range", action="append", default=[], dest="ranges",
+                        metavar="VIEW=LOW:HIGH", help="values allowed in a view; may be repeated")
+    parser.add_argument("--filled", type=float, default=quality.NON_NULL_SHARE,
+                        help="least share of values in a filled column")
+    parser.add_argument("--known-status", type=float, default=quality.STATUS_SHARE,
+                        help="least share of known statuses")
     asked = parser.parse_args(arguments)
     if not asked.root and not asked.namespace:
         parser.error("--root or --namespace is needed")
+    try:
+        asked.ranges = {**quality.RANGES, **dict(map(_range, asked.ranges))}
+    except ValueError as problem:
+        parser.error(str(problem))
     return asked
 
 
+def _range(given: str) -> tuple[str, tuple[float, float]]:
+    """``VIEW=LOW:HIGH``; other values of the view fail its suite."""
+    view, _, limits = given.partition("=")
+    if view not in quality.RANGES:
+        raise ValueError(f"unknown view {view}; known: {sorted(quality.RANGES)}")
+    low, _, high = limits.partition(":")
+    if not float(low) <= float(high):
+        raise ValueError(f"range of {view} is empty: {limits}")
+    return view, (float(low), float(high))
+
+
 def main(arguments: Sequence[str] | None = None) -> None:
     asked = parsed(arguments)
     landing = None
@@ -55,7 +76,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     done = jobs.run(
         spark, layout, landing, asked.first, asked.last, asked.with_quality, asked.gate,
         only=asked.only, strict=asked.strict, accuracy=asked.accuracy,
-        metrics=metrics,
+        metrics=metrics, ranges=asked.ranges, filled=asked.filled, known_status=asked.known_status,
     )
     for stage, stored in done.items():
         if isinstance(stored, dict):

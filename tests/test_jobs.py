@@ -3,6 +3,7 @@ from test_sources import feature, save
 
 from assayline import schemas
 from assayline.plans import jobs, reports
+from assayline.plans.quality import RANGES
 from assayline.sources import Layout, read_table, register_views
 
 # Ordered statements a reader of the gold views runs, and their rows here.
@@ -127,6 +128,9 @@ def test_gate_stops_on_failed_suites(spark, landing, tmp_path):
     assert [r.rule for r in jobs.quality(spark, layout).filter("not success").collect()] == ["between"]
     with pytest.raises(jobs.QualityError, match="silver_mesures_range_pH_suite"):
         jobs.run(spark, layout, first="silver", with_quality=True, gate=True, moment=MOMENT)
+    wider = {**RANGES, "pH": (3.0, 10.0)}
+    jobs.run(spark, layout, first="silver", last="silver", with_quality=True, gate=True,
+             moment=MOMENT, ranges=wider)
 
 
 def test_catalog_run(spark, landing):

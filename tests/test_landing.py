@@ -277,3 +277,14 @@ def test_submit_in_catalog_mode(spark, tmp_path, capsys):
         submit.parsed([])
     assert submit.parsed(["--root", "x", "--only", "communes_udi"]).only == ["communes_udi"]
     assert (ROOT / "submit.py").exists() and schemas.SILVER and MOMENT
+
+
+def test_submit_takes_limits_of_the_quality_job():
+    plain = submit.parsed(["--root", "x"])
+    assert plain.ranges == quality.RANGES
+    assert (plain.filled, plain.known_status) == (quality.NON_NULL_SHARE, quality.STATUS_SHARE)
+    asked = submit.parsed(["--root", "x", "--range", "pH=6.5:9", "--filled", "0.5"])
+    assert asked.ranges == {**quality.RANGES, "pH": (6.5, 9.0)} and asked.filled == 0.5
+    for wrong in ("acidity=1:2", "pH=9:6", "pH=6", "pH=a:b"):
+        with pytest.raises(SystemExit):
+            submit.parsed(["--root", "x", "--range", wrong])
