@@ -56,22 +56,36 @@ SELECT code, nom FROM seen
 QUALIFY row_number() OVER (PARTITION BY code ORDER BY page DESC, position DESC, nom) = 1"""
 )
 def dedupe_geo_lines(spark, sf_dir):
-    """The same from documents landed one per line, with page ordinals."""
+    """The same from documents landed one per line, with page ordinals, in files
+    that follow each other as the pages do. Of features at one line number the
+    one that counts stands last."""
     rows = views.table(spark, sf_dir, "lineitem")
+
+    def by_arrival(a, b):
+        return (
+            F.when(a["l_linenumber"] < b["l_linenumber"], -1)
+            .when(a["l_linenumber"] > b["l_linenumber"], 1)
+            .when(a["nom"] > b["nom"], -1)
+            .when(a["nom"] < b["nom"], 1)
+            .otherwise(0)
+        )
+
     features = F.transform(
-        F.sort_array(
+        F.array_sort(
             F.collect_list(
                 F.struct(
                     "l_linenumber",
                     views.text("l_suppkey").alias("code"),
                     views.text("l_partkey").alias("nom"),
                 )
-            )
+            ),
+            by_arrival,
         ),
         lambda x: F.struct(F.struct(x["code"].alias("code"), x["nom"].alias("nom")).alias("properties")),
     )
     docs = rows.groupBy(F.col("l_orderkey").alias("page")).agg(features.alias("features"))
-    path = landing.saved_documents(docs, "places")
+    docs = docs.repartitionByRange("page").sortWithinPartitions("page")
+    path = landing.saved_documents(docs, "places", doc_records=4)
     properties = T.StructType(
         [T.StructField("code", T.StringType()), T.StructField("nom", T.StringType())]
     )

@@ -5,7 +5,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from assayline.sources.staging import staging_root
-from registry import landing, runs
+from registry import QUERIES, landing, runs
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -32,3 +32,25 @@ def test_landed_files_are_compressed_and_bounded(spark, monkeypatch):
     assert {f.suffix for f in files} == {".gz"}
     assert max(spark.read.text(str(f)).count() for f in files) <= 4
     assert sum(spark.read.text(str(f)).count() for f in files) == 10
+
+
+def _arrivals(spark, tmp_path):
+    lines = [(o, 1 + o % 3, 100 + (o * 7) % 11, o % 4) for o in range(1, 400)]
+    # The same line of the same supplier again, with another part.
+    lines += [(o, n, p + 1, s) for o, n, p, s in lines if o % 2]
+    names = "l_orderkey long, l_linenumber long, l_partkey long, l_suppkey long"
+    spark.createDataFrame(lines, names).repartition(7).write.parquet(f"{tmp_path}/lineitem.parquet")
+    last = {}
+    for o, n, p, s in sorted(lines, key=lambda x: (x[0], x[1], [-ord(c) for c in str(x[2])])):
+        last[str(s)] = str(p)
+    return set(last.items())
+
+
+def test_pages_in_many_files_arrive_in_their_order(spark, tmp_path):
+    wanted = _arrivals(spark, tmp_path)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = {tuple(r) for r in QUERIES["dedupe_geo_lines"](spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert found == wanted
