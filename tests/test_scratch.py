@@ -54,3 +54,17 @@ def test_pages_in_many_files_arrive_in_their_order(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert found == wanted
+
+
+def test_the_torn_page_is_a_full_one_wherever_the_rows_are(spark, tmp_path):
+    # Seven small files: no task holds a whole page.
+    row = "id AS o_orderkey, id AS o_custkey, 'O' AS o_orderstatus, 1.5D AS o_totalprice"
+    spark.range(500, numPartitions=7).selectExpr(*row.split(", ")).write.parquet(
+        f"{tmp_path}/orders.parquet"
+    )
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 27))
+    try:
+        found = QUERIES["page_completeness_faulty"](spark, str(tmp_path)).first()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert tuple(found) == (300, 500, 1, False)
