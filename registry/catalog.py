@@ -253,7 +253,8 @@ _EVENT_FLAGS = """e AS (SELECT event_id, event_type, value,
 
 def _event_flags(spark, sf_dir):
     events = views.table(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    return op.flag_iqr_outliers(events, "value", "event_type")
+    bounds = sources.staged(op.iqr_bounds(events, "value", "event_type"), "bounds")
+    return op.flag_iqr_outliers(events, "value", "event_type", bounds=bounds)
 
 
 @query(f"WITH {_EVENT_FLAGS} SELECT * FROM e")
@@ -273,6 +274,14 @@ _MEASURE_COLUMNS = (
 )
 
 
+def _flagged(clean):
+    """Staged clean results with outlier flags and categories. The bounds are staged as in
+    the silver job: with their size known to be small, no shuffle deals the results to
+    a few parameters."""
+    bounds = sources.staged(silver.result_bounds(clean), "bounds")
+    return silver.categorise_stored(silver.flag_outliers(clean, bounds))
+
+
 def _bronze_results(spark, sf_dir):
     return op.nested_to_json(views.results(spark, sf_dir), ["reseaux"])
 
@@ -286,8 +295,7 @@ FROM flagged"""
 )
 def silver_measures(spark, sf_dir):
     clean = sources.staged(silver.clean_results(_bronze_results(spark, sf_dir)), "clean")
-    results = silver.categorise(silver.flag_outliers(clean))
-    built = silver.build_measures(results)
+    built = silver.build_measures(_flagged(clean))
     return built.select(
         *_MEASURE_COLUMNS.split(", "),
         ts_text("date_prelevement_ts").alias("sampled"),
@@ -826,7 +834,7 @@ UNION ALL SELECT 'silver_stations_uniqueness_suite', 3, true"""
 def quality_suites(spark, sf_dir):
     """The nine suites over silver tables built from the raw views."""
     clean = sources.staged(silver.clean_results(_bronze_results(spark, sf_dir)), "clean")
-    results = silver.categorise(silver.flag_outliers(clean))
+    results = _flagged(clean)
     geo = silver.clean_geo(views.place_rows(spark, sf_dir))
     tables = {
         "stations": silver.build_stations(views.networks(spark, sf_dir), geo),
