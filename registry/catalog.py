@@ -836,8 +836,10 @@ def quality_suites(spark, sf_dir):
     clean = sources.staged(silver.clean_results(_bronze_results(spark, sf_dir)), "clean")
     results = _flagged(clean)
     geo = silver.clean_geo(views.place_rows(spark, sf_dir))
+    stations = silver.build_stations(views.networks(spark, sf_dir), geo)
     tables = {
-        "stations": silver.build_stations(views.networks(spark, sf_dir), geo),
+        # Staged, as two suites read it and one of them twice.
+        "stations": sources.staged(stations, "stations"),
         "mesures": _padded(silver.build_measures(results), "mesures"),
         "conformite": silver.build_conformity(clean),
     }

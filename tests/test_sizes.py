@@ -1,7 +1,7 @@
 """Plans of queries whose tasks would grow with the input."""
 
 import pytest
-from conftest import final_plan
+from conftest import final_plan, plan_of
 
 from registry import QUERIES
 
@@ -21,3 +21,8 @@ def test_results_are_not_dealt_to_a_few_parameters(spark, many_partitions, name)
     plan = final_plan(QUERIES[name](spark, SMALL))
     assert "SortMergeJoin" not in plan
     assert "BroadcastHashJoin" in plan
+
+
+def test_the_suites_build_each_table_once(spark):
+    # All tables are staged by then; before, the stations were built for every suite.
+    assert "l_suppkey" not in plan_of(QUERIES["quality_suites"](spark, SMALL))
