@@ -26,16 +26,20 @@ KINDS = {
 }
 
 
-def _kind(value: Column) -> Column:
-    """Kind of a variant: text, whole, number, boolean, list, object or null."""
-    named = F.schema_of_variant(value)
+def _type_name(value: Column) -> Column:
+    """Type of a variant without what it is made of: ``OBJECT``, ``DECIMAL``, ..."""
+    return F.substring_index(F.substring_index(F.schema_of_variant(value), "<", 1), "(", 1)
+
+
+def _kind(name: Column) -> Column:
+    """Kind of a type name: text, whole, number, boolean, list, object or null."""
     return (
-        F.when(F.is_variant_null(value), "null")
-        .when(named.startswith("OBJECT"), "object")
-        .when(named.startswith("ARRAY"), "list")
-        .when(named == "STRING", "text")
-        .when(named == "BOOLEAN", "boolean")
-        .when(named == "BIGINT", "whole")
+        F.when(name == "VOID", "null")
+        .when(name == "OBJECT", "object")
+        .when(name == "ARRAY", "list")
+        .when(name == "STRING", "text")
+        .when(name == "BOOLEAN", "boolean")
+        .when(name == "BIGINT", "whole")
         .otherwise("number")
     )
 
@@ -100,11 +104,14 @@ def field_profile(
         for deeper in range(k + 1, depth + 1):
             once &= F.coalesce(F.col(f"__pos{deeper}"), F.lit(0)) == 0
         entry = F.struct(
-            F.col(f"__path{k}").alias("field"), _kind(F.col(f"__value{k}")).alias("kind")
+            F.col(f"__path{k}").alias("field"), _type_name(F.col(f"__value{k}")).alias("type")
         )
         found.append(F.when(F.col(f"__path{k}").isNotNull() & once, entry))
     entries = rows.select(F.explode(F.array_compact(F.array(*found))).alias("e"))
-    return entries.groupBy("e.field", "e.kind").agg(F.count("*").alias("n"))
+    # Counted by type name first: a type is then looked up once a value, and its kind
+    # once a field and type.
+    types = entries.groupBy("e.field", "e.type").agg(F.count("*").alias("n"))
+    return types.groupBy("field", _kind(F.col("type")).alias("kind")).agg(F.sum("n").alias("n"))
 
 
 def declared_fields(schema: T.StructType, depth: int = 2) -> list[tuple[str, str, list[str]]]:
