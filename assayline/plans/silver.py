@@ -203,9 +203,11 @@ def build_stations(
         "nom_reseau",
         parse_day(F.col("debut_alim")).alias("debut_alim"),
         F.col("annee").try_cast("int").alias("annee"),
-        label_norm(F.col("nom_commune")).alias("nom_commune_norm"),
     )
-    unique = first_per_key(kept, STATION_KEY)
+    # The label follows from the name, so rows are sorted without it.
+    unique = first_per_key(kept, STATION_KEY).withColumn(
+        "nom_commune_norm", label_norm(F.col("nom_commune"))
+    )
     located = unique.join(geo, unique["code_commune"] == geo["code_commune_geo"], "left")
     stamped = with_load_ts(located, "_silver_timestamp", moment)
     return stamped.select(*schemas.SILVER["stations"].names)
