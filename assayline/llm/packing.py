@@ -204,9 +204,12 @@ class Index:
         scores = np.bincount(self.doc[places], self.weight[places], minlength=self.n)
         return scores + self._dense_scores(seed) if self.dense.shape[1] else scores
 
-    def neighbours(self, seed: int, unused: np.ndarray) -> Iterator[int]:
-        """Unused documents that share terms with the seed, best first. They are
-        sorted as far as they are asked for."""
+    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
+        """Unused documents that share terms with the seed, best first."""
+        return np.fromiter(self.nearest(seed, unused), np.int64)
+
+    def nearest(self, seed: int, unused: np.ndarray) -> Iterator[int]:
+        """As ``neighbours``, sorted as far as they are asked for."""
         self.forget(unused)
         scores = self.scores(seed)
         found = np.flatnonzero(unused & (scores > 0))
@@ -238,7 +241,7 @@ def pack_order(terms: list[np.ndarray], lengths: list[int], window: int = WINDOW
         # taken from its front alone.
         nxt = next(queue, None)
         if nxt is None and order:
-            queue = index.neighbours(order[-1], unused)
+            queue = index.nearest(order[-1], unused)
             nxt = next(queue, None)
         if nxt is None:
             while not unused[cursor]:
@@ -250,7 +253,7 @@ def pack_order(terms: list[np.ndarray], lengths: list[int], window: int = WINDOW
         if filled >= window:
             # A new window has begun with what ran over: its neighbours are next.
             filled %= window
-            queue = index.neighbours(nxt, unused)
+            queue = index.nearest(nxt, unused)
     return order
 
 
