@@ -1,9 +1,12 @@
 """What queries leave in the shared folder, and how they land documents."""
 
+import time
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from assayline import sources
+from assayline.plans import jobs
 from assayline.sources.staging import staging_root
 from registry import QUERIES, landing, runs
 
@@ -68,3 +71,44 @@ def test_the_torn_page_is_a_full_one_wherever_the_rows_are(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert tuple(found) == (300, 500, 1, False)
+
+
+def _shuffles(spark) -> set[str]:
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    names = disk.getAllFiles().mkString("\n").split("\n")
+    return {n for n in names if "shuffle_" in n and n.endswith(".data")}
+
+
+def _gone(spark, before: set[str]) -> bool:
+    for _ in range(50):
+        if not _shuffles(spark) - before:
+            return True
+        time.sleep(0.1)
+    return False
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark, tmp_path):
+    rows = spark.range(5000).select("id", (F.col("id") % 7).alias("y"))
+    layout = sources.Layout(root=str(tmp_path))
+    before = _shuffles(spark)
+    stored = sources.write_table(rows, layout, "silver", "t", ["y"], slices=3, slice_by=["id"])
+    assert stored == 5000
+    assert _gone(spark, before)
+    kept = sources.read_table(spark, layout, "silver", "t", rows.schema)
+    assert kept.select("id").distinct().count() == 5000
+
+
+def test_pages_are_made_without_a_shuffle(spark):
+    rows = spark.range(1000).select(F.col("id").alias("a"))
+    assert "Exchange" not in landing._paged(rows, 30)._jdf.queryExecution().toString()
+
+
+def test_a_run_in_slices_stores_the_same_rows(spark, monkeypatch):
+    names = (runs.run_conformite_commune, runs.run_evolution_parametres, runs.run_quality_results)
+    runs._layouts.clear()
+    whole = [sorted(map(repr, made(spark, SMALL).collect())) for made in names]
+    monkeypatch.setattr(jobs, "SLICE_ROWS", 1500)
+    monkeypatch.setattr(jobs, "SLICE_BYTES", 20_000)
+    runs._layouts.clear()
+    assert [sorted(map(repr, made(spark, SMALL).collect())) for made in names] == whole
+    runs._layouts.clear()
