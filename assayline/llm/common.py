@@ -1,6 +1,8 @@
 """Helpers of the corpus operators: text rules, tables, intermediate tables."""
 
 import atexit
+import ctypes
+import gc
 import string
 import uuid
 
@@ -57,6 +59,15 @@ def sampled(df: DataFrame, column: str, most: int, total: int) -> DataFrame:
     return df.filter(place < share).orderBy(place, column).limit(most)
 
 
+def give_back() -> None:
+    """Return freed memory of this process to the system, where the C library
+    can. What a fit freed would else count as the driver's until it ends."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def folder(spark: SparkSession, label: str) -> str:
     """A new folder in the shared one; it goes when the driver ends."""
     path = f"{staging_root(spark)}/llm/{label}-{uuid.uuid4().hex}"

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayline.llm.common import sampled, stage
+from assayline.llm.common import give_back, sampled, stage
 
 # Words are hashed into so many slots. A tree of centroids has up to LEAVES
 # leaves, BRANCH to a node, fitted on at most SAMPLE documents. A leaf is cut
@@ -188,7 +188,10 @@ def deal(docs: DataFrame, total_rows: int, total_bytes: int, shard_bytes: int) -
     kinds = T.StructType(
         [*docs.schema.fields, T.StructField("__leaf", T.IntegerType()), T.StructField("__bucket", T.IntegerType())]
     )
-    placed = stage(docs.mapInArrow(_placed(fit(rows, leaves)), kinds), "dealt")
+    tree = fit(rows, leaves)
+    del rows
+    give_back()
+    placed = stage(docs.mapInArrow(_placed(tree), kinds), "dealt")
     sizes = placed.groupBy("__leaf", "__bucket").agg(F.sum(F.octet_length("__text") + 8).alias("size"))
     found = {(r["__leaf"], r["__bucket"]): r["size"] for r in sizes.collect()}
     table = pd.DataFrame(shards_of(found, shard_bytes), columns=["__leaf", "__bucket", "__first", "__span"])

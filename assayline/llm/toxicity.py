@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayline.llm.common import WORD, crc_part, sampled
+from assayline.llm.common import WORD, crc_part, give_back, sampled
 
 # The fit uses at most so many labelled documents of each kind, whole, and at
 # most so many bytes of their texts.
@@ -454,6 +454,8 @@ def toxicity(
         sample_bytes,
     )
     shared = spark.sparkContext.broadcast(fit(texts, kinds, plain_windows))
+    del texts, kinds
+    give_back()
     kept = [c for c in docs.columns if c not in ADDED]
     source = docs.select(
         F.struct(*[F.col(c) for c in kept]).alias("__doc"),
