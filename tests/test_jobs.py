@@ -142,3 +142,14 @@ def test_catalog_run(spark, landing):
     spark.sql("USE default")
     for name in names.values():
         spark.sql(f"DROP SCHEMA {name} CASCADE")
+
+
+def test_a_further_batch_is_added(spark, tmp_path):
+    layout = Layout(root=str(tmp_path / "out"), compression="zstd")
+    one, two = landed(tmp_path / "one"), landed(tmp_path / "two")
+    first = jobs.bronze(spark, layout, one, only="resultats_dis", moment=MOMENT)
+    both = jobs.bronze(spark, layout, two, only="resultats_dis", moment=MOMENT, append=True)
+    assert both["resultats_dis"] == 2 * first["resultats_dis"] > 0
+    assert list((tmp_path / "out" / "bronze" / "resultats_dis").rglob("*.zstd.parquet"))
+    with pytest.raises(ValueError, match="landed whole"):
+        jobs.bronze(spark, layout, two, only="geo_communes", append=True)

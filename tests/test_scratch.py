@@ -6,9 +6,9 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from assayline import sources
-from assayline.plans import jobs
-from assayline.sources.staging import staging_root
-from registry import QUERIES, landing, runs
+from assayline.plans import gold, jobs
+from assayline.sources.staging import Staging, staging_root
+from registry import QUERIES, catalog, landing, runs, views
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -112,3 +112,54 @@ def test_a_run_in_slices_stores_the_same_rows(spark, monkeypatch):
     runs._layouts.clear()
     assert [sorted(map(repr, made(spark, SMALL).collect())) for made in names] == whole
     runs._layouts.clear()
+
+
+def _small_run(spark) -> None:
+    runs._layouts.clear()
+    runs.run_of(spark, SMALL)
+    runs._layouts.clear()
+
+
+def test_a_batch_of_documents_goes_before_the_next_is_landed(spark, monkeypatch):
+    before, at_once, kept = _staged(spark), [], landing.release
+
+    def counted(path):
+        at_once.append(len([p for p in _staged(spark) - before if not p.startswith("run-")]))
+        kept(path)
+
+    monkeypatch.setattr(landing, "release", counted)
+    monkeypatch.setattr(jobs, "SLICE_ROWS", 3000)
+    _small_run(spark)
+    assert set(at_once) == {1}
+    assert len(at_once) > 3
+
+
+def test_a_table_goes_once_no_job_reads_it(spark, monkeypatch):
+    gone, kept = [], landing.delete_folder
+
+    def noted(session, path):
+        layer, _, name = path.partition("/run-")[2].partition("/")[2].partition("/")
+        made = {p.name for p in (Path(path.removeprefix("file:")).parents[1] / "silver").glob("*")}
+        gone.append((layer, name, len(made)))
+        return kept(session, path)
+
+    monkeypatch.setattr(landing, "delete_folder", noted)
+    _small_run(spark)
+    tables = [(layer, name) for layer, name, _ in gone if name]
+    assert tables == [
+        ("bronze", "resultats_dis"), ("bronze", "communes_udi"), ("bronze", "geo_communes"),
+        ("silver", "stations"), ("silver", "conformite"), ("silver", "mesures"),
+    ]
+    # Landed results go before any silver table is written.
+    assert gone[0][2] == 0
+
+
+def test_violations_in_slices_of_samples_are_the_same(spark):
+    failed = gold.failed_samples(views.samples(spark, SMALL))
+    measures, dim = views.measures(spark, SMALL), catalog._dim(spark, SMALL)
+    whole = gold.violation_profile(failed, measures, dim, runs.MOMENT)
+    with Staging(spark) as stage:
+        details = gold.violations_with_measures(failed, measures)
+        details = stage(details, "violations", 3, ["code_prelevement"])
+        cut = gold.profile_of(details, dim, runs.MOMENT)
+        assert sorted(map(repr, cut.collect())) == sorted(map(repr, whole.collect()))
