@@ -15,6 +15,7 @@ from assayline.sources.landed import (
 )
 from assayline.sources.layers import (
     Layout,
+    delete_partition,
     ensure_namespace,
     fq_table,
     read_table,
@@ -28,6 +29,7 @@ __all__ = [
     "Layout",
     "Staging",
     "collection_completeness",
+    "delete_partition",
     "department_codes",
     "ensure_namespace",
     "field_profile",

@@ -163,3 +163,35 @@ def test_violations_in_slices_of_samples_are_the_same(spark):
         details = stage(details, "violations", 3, ["code_prelevement"])
         cut = gold.profile_of(details, dim, runs.MOMENT)
         assert sorted(map(repr, cut.collect())) == sorted(map(repr, whole.collect()))
+
+
+def test_results_leave_bronze_and_cleaning_year_by_year(spark, monkeypatch):
+    steps, drop, write, land = [], Staging.drop, jobs._write, landing.envelopes
+    monkeypatch.setattr(Staging, "drop", lambda s, label: (steps.append("drop"), drop(s, label)))
+
+    def deleted(session, layout, layer, name, part):
+        steps.append(("part", *part.values()))
+        assert sources.layers.delete_partition(session, layout, layer, name, part)
+
+    def written(df, layout, layer, name, **options):
+        steps.append(name)
+        return write(df, layout, layer, name, **options)
+
+    def landed(rows, *options):
+        steps.append("landed")
+        return land(rows, *options)
+
+    monkeypatch.setattr(sources, "delete_partition", deleted)
+    monkeypatch.setattr(jobs, "_write", written)
+    monkeypatch.setattr(landing, "envelopes", landed)
+    monkeypatch.setattr(jobs, "SLICE_ROWS", 1500)
+    _small_run(spark)
+    parts = [s[1] for s in steps if isinstance(s, tuple)]
+    assert None in parts and len(parts) == len(set(parts)) > 3
+    # A year goes from bronze once cleaned, and from cleaning once it is measures.
+    assert steps.index("conformite") > max(k for k, s in enumerate(steps) if isinstance(s, tuple))
+    mesures = [k for k, s in enumerate(steps) if s == "mesures"]
+    assert len(mesures) >= len(parts) and all(steps[k + 1] == "drop" for k in mesures)
+    # A batch of networks is landed when the stations of the one before are made.
+    after = [s for s in steps[mesures[-1] :] if s in ("landed", "stations")]
+    assert after == ["landed", "stations"] * (len(after) // 2) and len(after) > 2
