@@ -7,7 +7,9 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +40,10 @@ SPACES = (
 SINGLE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s"
 _RUN = re.compile(f"([{SPACES}]+(?![^{SPACES}]))")
 _DOUBLE = re.compile(f"[{SPACES}]{{2}}")
+# A white space that stands between words which are encoded together.
+MARK = "\x0b"
+# What a word between two blanks may have where white spaces stand together.
+_ODD = re.compile(f"\\A[{SPACES}]|[{SPACES}]\\Z|[{SPACES}]{{2}}")
 
 
 def default_tokenizer() -> str:
@@ -81,6 +87,38 @@ class Ranked:
                 ids += by.encode_ordinary(part)
         return ids
 
+    def encode_words(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Ids of texts without ``MARK``; None for those where white spaces may
+        stand together. Only the first character of a part can be a blank, so
+        texts are cut before each blank, and each distinct word of them is
+        encoded once."""
+        if not texts:
+            return []
+        listed = pc.split_pattern(pa.array([MARK + t for t in texts], pa.large_string()), " ")
+        found = listed.flatten().dictionary_encode()
+        distinct = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        spaced = pc.match_substring_regex(found.dictionary, f"^$|[{SPACES}]").to_numpy(zero_copy_only=False)
+        odd = spaced.copy()
+        for k in np.flatnonzero(spaced).tolist():
+            word = distinct[k]
+            odd[k] = not word or _ODD.search(word.removeprefix(MARK)) is not None
+        # The first word of a text has no blank before it.
+        words = [
+            "" if o else w[1:] if w[0] == MARK else " " + w
+            for w, o in zip(distinct, odd.tolist(), strict=True)
+        ]
+        mark = self._single.encode_ordinary(MARK)[0]
+        ids = np.array(self._single.encode_ordinary(MARK.join(words)), np.int32)
+        marks = np.flatnonzero(ids == mark)
+        first = np.concatenate([[0], marks + 1])
+        word, starts = found.indices.to_numpy(), listed.offsets.to_numpy()[:-1]
+        sizes = (np.concatenate([marks, [len(ids)]]) - first)[word]
+        ends = np.cumsum(sizes)
+        placed = ids[np.repeat(first[word] - ends + sizes, sizes) + np.arange(ends[-1])]
+        cut = np.split(placed, ends[starts[1:] - 1])
+        apart = np.add.reduceat(odd[word].astype(np.int64), starts) == 0
+        return [x if p else None for x, p in zip(cut, apart.tolist(), strict=True)]
+
 
 def ranked(path: str) -> Ranked | None:
     """The merges as ranks; None for vocabularies that are ordered otherwise."""
@@ -138,6 +176,18 @@ class Encoder:
         ids.append(END_ID)
         return np.array(ids, dtype=self.kind)
 
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """``encode`` of each text, words that they share encoded once."""
+        if self.ranks is None:
+            return [self.encode(t) for t in texts]
+        plain = [not (MARK in t or any(s in t for s in self.special)) for t in texts]
+        shared = iter(self.ranks.encode_words([t for t, p in zip(texts, plain, strict=True) if p]))
+        out = []
+        for text, p in zip(texts, plain, strict=True):
+            ids = next(shared) if p else None
+            out.append(self.encode(text) if ids is None else np.append(ids, END_ID).astype(self.kind))
+        return out
+
 
 def starts(groups: np.ndarray, n: int) -> np.ndarray:
     """Where each of ``n`` groups begins in sorted ``groups``, and their end."""
@@ -151,7 +201,7 @@ class Index:
         n = len(terms)
         lengths = np.array([len(t) for t in terms], dtype=np.int64)
         flat = np.concatenate([*terms, np.empty(0, np.int64)])
-        _, ids = np.unique(flat, return_inverse=True)
+        ids, _ = pd.factorize(flat)
         owner = np.repeat(np.arange(n), lengths)
         # One entry per (term, document), sorted by term, then document.
         key, times = np.unique(ids.astype(np.int64) * max(1, n) + owner, return_counts=True)
@@ -304,7 +354,7 @@ def _packed(path: str, window: int, with_ids: bool):
     def shard_of(rows: pa.Table, encoder: Encoder) -> pa.RecordBatch:
         shard = rows.column("__shard")[0].as_py()
         texts = rows.column("__text").to_pylist()
-        tokens = [encoder.encode(t) for t in texts]
+        tokens = encoder.encode_all(texts)
         order = pack_order([_terms(t) for t in texts], [len(t) for t in tokens], window)
         return _pieces(rows.column("__id").to_pylist(), tokens, order, shard, window, with_ids)
 

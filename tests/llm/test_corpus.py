@@ -760,3 +760,23 @@ def test_pipeline_takes_edge_rows_clashes_and_empty_tables(spark, edges, labels,
     rows = packed.collect()
     assert rows and packed.columns[:3] == ["doc_id", "start", "length"]
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_a_shard_encodes_a_word_once(monkeypatch):
+    encoder = packing.Encoder(packing.default_tokenizer())
+    odd = ["", " ", " a b", "a b ", "a\nb c", "x  y", "it's 12 $5. été\u2003z", "a\x0bb", "\n", "\ta",
+           "<|endoftext|> a", "zqxv" * 50, "a\n\nb c ", "日本語 テキスト", "a\x1fb \x1f c", "'s 't a's"]
+    texts = odd + [f"{a} {b}{a}" for a in odd for b in odd]
+    assert [x.tolist() for x in encoder.encode_all(texts)] == [encoder.encode(t).tolist() for t in texts]
+    assert {x.dtype for x in encoder.encode_all(texts)} == {encoder.encode("a").dtype}
+    assert encoder.encode_all([]) == [] and encoder.encode_all([""])[0].tolist() == [packing.END_ID]
+    seen, single = [], encoder.ranks._single
+
+    class Counted:
+        def encode_ordinary(self, text):
+            seen.append(len(text))
+            return single.encode_ordinary(text)
+
+    monkeypatch.setattr(encoder.ranks, "_single", Counted())
+    encoder.encode_all(["one two three four " * 200 + "end"] * 50)
+    assert sum(seen) < 100
