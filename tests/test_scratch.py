@@ -1,13 +1,14 @@
 """What queries leave in the shared folder, and how they land documents."""
 
+import json
 import time
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from assayline import sources
+from assayline import schemas, sources
 from assayline.plans import gold, jobs
-from assayline.sources.staging import Staging, staging_root
+from assayline.sources.staging import Staging, counted_cut, staging_root
 from registry import QUERIES, catalog, landing, runs, views
 
 SMALL = "/root/testdata/sf0.001"
@@ -195,3 +196,82 @@ def test_results_leave_bronze_and_cleaning_year_by_year(spark, monkeypatch):
     # A batch of networks is landed when the stations of the one before are made.
     after = [s for s in steps[mesures[-1] :] if s in ("landed", "stations")]
     assert after == ["landed", "stations"] * (len(after) // 2) and len(after) > 2
+
+
+def test_pages_hold_the_rows_of_a_task_in_order(spark):
+    # Pages of 7 rows in batches of 10: pages begin in one batch and end in another.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        pages = landing._paged(spark.range(0, 95, 1, 2).select(F.col("id").alias("a")), 7).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    read = [[r["a"] for r in json.loads(p.data)] for p in pages]
+    assert [p.n for p in pages] == [len(r) for r in read] and max(p.n for p in pages) == 7
+    assert [a for r in read for a in r] == list(range(95))
+    assert len({p.run for p in pages}) == len(pages)
+
+
+def test_batches_know_their_rows_from_one_query(spark):
+    rows = spark.range(1000).select((F.col("id") % 40).alias("k"), "id")
+    parts = counted_cut(rows, lambda n: n // 200, ["k"], 8)
+    assert len(parts) == 5 and sum(n for _, n in parts) == 1000
+    assert [part.count() for part, _ in parts] == [n for _, n in parts]
+    assert [n for _, n in counted_cut(rows, lambda n: 1, ["k"], 8)] == [1000]
+
+
+def test_landed_documents_are_parsed_once(spark, monkeypatch):
+    scans, counted = [], []
+    lost, land = jobs.rejects, landing.envelopes
+    monkeypatch.setattr(jobs, "rejects", lambda *a: (scans.append(lost(*a)), scans[-1])[1])
+    monkeypatch.setattr(landing, "envelopes", lambda rows, *a: (counted.append(a), land(rows, *a))[1])
+    kept = jobs._write
+
+    def written(df, layout, layer, name, **options):
+        if name in ("rejects_communes_udi", "rejects_resultats_dis"):
+            assert "FileScan" not in df._jdf.queryExecution().executedPlan().toString()
+        return kept(df, layout, layer, name, **options)
+
+    monkeypatch.setattr(jobs, "_write", written)
+    monkeypatch.setattr(jobs, "SLICE_ROWS", 3000)
+    _small_run(spark)
+    assert len(scans) > 3
+    # Batches are landed with their number of rows, which no query of their own counts.
+    assert counted and all(a[-1] > 0 for a in counted)
+
+
+def test_a_large_landing_is_stored_without_a_shuffle(spark, tmp_path, monkeypatch):
+    rows = views.results(spark, SMALL).drop("_ingestion_timestamp")
+    path = landing.envelopes(rows)
+    found = {}
+    for size in (1 << 30, 1):
+        monkeypatch.setattr(jobs, "SLICE_BYTES", size)
+        layout = sources.Layout(root=str(tmp_path / str(size)))
+        landed = jobs.Landing({"resultats_dis": path}, {"resultats_dis": "x"}, one_per_file=False)
+        n = jobs.bronze(spark, layout, landed, only="resultats_dis", moment=runs.MOMENT)
+        table = sources.read_table(
+            spark, layout, "bronze", "resultats_dis", schemas.BRONZE["resultats_dis"]
+        )
+        assert n == {"resultats_dis": rows.count()}
+        found[size] = sorted(map(repr, table.collect()))
+    assert found[1] == found[1 << 30]
+    dealt, write = [], jobs._write
+    monkeypatch.setattr(
+        jobs, "_write", lambda df, *a, **k: (dealt.append(k.get("rebalance")), write(df, *a, **k))[1]
+    )
+    jobs.bronze(spark, layout, landed, only="resultats_dis", moment=runs.MOMENT)
+    assert dealt[0] is False
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == "0"
+
+
+def test_torn_pages_are_kept_where_records_are_many(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    whole = '{"count": 2, "data": [{"code_reseau": "1"}, {"code_reseau": "2"}]}'
+    lines = [whole, '{"count": 2, "data": [{"code_', '{"error": "unavailable"}', whole]
+    (tmp_path / "in" / "a.json").write_text("\n".join(lines))
+    layout = sources.Layout(root=str(tmp_path / "out"))
+    landed = jobs.Landing({"communes_udi": str(tmp_path / "in")}, {"communes_udi": "x"}, False)
+    assert jobs.bronze(spark, layout, landed, only="communes_udi") == {"communes_udi": 4}
+    again = jobs.bronze(spark, layout, landed, only="communes_udi", append=True)
+    assert again == {"communes_udi": 8}
+    kept = spark.read.parquet(layout.path("bronze", "rejects_communes_udi"))
+    assert sorted(r.reason for r in kept.collect()) == ["no data"] * 2 + ["unreadable"] * 2
