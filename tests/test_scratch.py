@@ -275,3 +275,23 @@ def test_torn_pages_are_kept_where_records_are_many(spark, tmp_path):
     assert again == {"communes_udi": 8}
     kept = spark.read.parquet(layout.path("bronze", "rejects_communes_udi"))
     assert sorted(r.reason for r in kept.collect()) == ["no data"] * 2 + ["unreadable"] * 2
+
+
+def test_sources_without_partitions_are_read_by_few_slices(spark, monkeypatch):
+    slices, kept, call = {}, jobs._write, Staging.__call__
+
+    def written(df, layout, layer, name, **options):
+        slices[name] = options.get("slices")
+        return kept(df, layout, layer, name, **options)
+
+    def staged(self, df, label, n=1, by=()):
+        slices[label] = n
+        return call(self, df, label, n, by)
+
+    monkeypatch.setattr(jobs, "_write", written)
+    monkeypatch.setattr(Staging, "__call__", staged)
+    monkeypatch.setattr(jobs, "SLICE_ROWS", 1500)
+    _small_run(spark)
+    assert slices["evolution_parametres"] > 2
+    assert slices["conformite"] == 2
+    assert slices["violations"] == slices["non_conformites"] == 1
